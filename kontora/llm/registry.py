@@ -5,8 +5,16 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = {
+    "secret_scan": "op1_secret_scans",
     "line_dedup": "op2_line_dedup",
+    "packing": "op3_best_fit_packing",
+    "license_scan": "op4_license_scans",
+    "language_id": "op5_language_id",
+    "decontamination": "op6_benchmark_decontamination",
+    "media_gif": "op7_media_columns",
     "near_dedup": "op8_minhash_near_dedup",
+    "toxicity": "op9_toxicity",
+    "url_filter": "op10_url_filters",
 }
 
 

@@ -1,9 +1,438 @@
 """All queries of the contact engine, by name, with the SQL each must equal."""
 
+from __future__ import annotations
 
-def queries() -> dict:
-    return {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kontora import schema as S
+from kontora.functions import contacts as C
+from kontora.functions import pages as P
+from kontora.functions import rules as R
+from kontora.functions import scoring, urls
+from kontora.operators import ingest, observe, queues, reports
+from kontora.plans import fixtures as X
+from kontora.plans import oracles as O
+from kontora.sources.tables import table
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None, name: str | None = None):
+    def add(f):
+        own = name or f.__name__
+        _QUERIES[own] = f
+        if sql is not None:
+            _ORACLES[own] = O.sql(sql)
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_ORACLES)
+
+
+def flagship(spark: SparkSession, d: str) -> DataFrame:
+    """Contacts through ingest, observation, scoring and tiering, by tier."""
+    return X.targets(spark, d).groupBy("tier").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("score"), F.sum("email_count").alias("contacts"))
+
+
+query("SELECT tier, count(*) AS n, sum(score)::BIGINT AS score, sum(email_count)::BIGINT AS contacts FROM t4 GROUP BY tier", "tiers")(flagship)
+
+# --- contacts
+
+_CLEAN = f"""lower(trim(trim(raw, E' \\t\\n\\r\\x0b\\x0c'), '{R.EMAIL_TRIM.replace("'", "''")}'))"""
+
+
+@query(
+    f"""SELECT doc_id, pos, CASE WHEN regexp_matches(e, '{R.EMAIL_VALID}') THEN e END AS email FROM
+  (SELECT doc_id, pos, regexp_replace({_CLEAN}, '^mailto:', '') AS e FROM (SELECT doc_id, unnest(a) AS raw, (generate_subscripts(a, 1) - 1)::INT AS pos
+   FROM (SELECT doc_id, regexp_extract_all(text, '{R.EMAIL_SCAN}') AS a FROM documents)))"""
+)
+def email_scan(spark, d):
+    found = table(spark, d, "documents").select("doc_id", F.posexplode(C.scan_emails(F.col("text"))).alias("pos", "raw"))
+    return found.select("doc_id", "pos", C.clean_email(F.col("raw")).alias("email"))
+
+
+@query(
+    f"""SELECT row_idx, pos, CASE WHEN regexp_matches(e, '{R.EMAIL_VALID}') THEN e END AS email FROM
+  (SELECT row_idx, pos, regexp_replace({_CLEAN}, '^mailto:', '') AS e FROM (SELECT row_idx, unnest(a) AS raw, (generate_subscripts(a, 1) - 1)::INT AS pos
+   FROM (SELECT row_idx, regexp_extract_all('mailto:' || upper(email) || ':sales@' || split_part(email, '@', 2) || '., junk', '{R.EMAIL_SCAN}') AS a FROM contacts)))"""
+)
+def email_scan_packed(spark, d):
+    cell = F.expr("concat('mailto:', upper(email), ':sales@', split_part(email, '@', 2), '., junk')")
+    found = X.contacts(spark, d).select("row_idx", F.posexplode(C.scan_emails(cell)).alias("pos", "raw"))
+    return found.select("row_idx", "pos", C.clean_email(F.col("raw")).alias("email"))
+
+
+_CLASS = "email, domain, local_part, tld, jurisdiction, is_freemail, is_role, target_key, status, created_year"
+
+
+@query(f"SELECT row_idx, {_CLASS} FROM classified")
+def classify_contacts(spark, d):
+    return X.classified(spark, d).select("row_idx", *_CLASS.split(", "))
+
+
+@query("SELECT file_idx, email, row_idx, created FROM firsts")
+def first_wins(spark, d):
+    return ingest.first_wins(X.contacts(spark, d)).select("file_idx", "email", "row_idx", "created")
+
+
+_NEW = "target_key, domain, email, local_part, created, created_year, email_count, is_freemail, is_role, tld, jurisdiction, status"
+
+
+@query(f"SELECT {_NEW} FROM newest")
+def keep_newest(spark, d):
+    return X.newest(spark, d).select(*_NEW.split(", "))
+
+
+@query(f"SELECT {_NEW} FROM newest")
+def upsert_incremental(spark, d):
+    """Files 0 and 1, then files 2 and 3: the same table as all at once."""
+    rows = C.classify(ingest.first_wins(X.contacts(spark, d)))
+    first = S.conform(ingest.keep_newest(rows.filter("file_idx < 2")))
+    return ingest.upsert(first, ingest.keep_newest(rows.filter("file_idx >= 2"))).select(*_NEW.split(", "))
+
+
+@query("SELECT concat('file', file_idx, '.xlsx') AS path, count(*) AS size, max(row_idx) AS mtime FROM contacts WHERE file_idx <> 1 GROUP BY file_idx")
+def ledger_anti(spark, d):
+    files = X.contacts(spark, d).groupBy("file_idx").agg(F.count(F.lit(1)).alias("size"), F.max("row_idx").alias("mtime"))
+    files = files.select(F.concat(F.lit("file"), "file_idx", F.lit(".xlsx")).alias("path"), "size", "mtime")
+    stale = files.withColumn("mtime", F.when(F.col("path") == "file1.xlsx", F.col("mtime")).otherwise(F.col("mtime") - 1))
+    return ingest.not_ingested(files, stale)
+
+
+@query("SELECT file_idx, count(*) AS found, count(DISTINCT email) AS emails, count(*) - count(DISTINCT email) AS dupes FROM contacts GROUP BY file_idx")
+def file_stats(spark, d):
+    return ingest.file_stats(X.contacts(spark, d))
+
+
+@query("SELECT file_idx, email, row_idx FROM firsts QUALIFY row_number() OVER (PARTITION BY file_idx ORDER BY row_idx) <= 25")
+def limit_per_file(spark, d):
+    return ingest.limit_per_file(ingest.first_wins(X.contacts(spark, d)), 25).select("file_idx", "email", "row_idx")
+
+
+# --- pages
+
+
+@query(f"SELECT page_id, nullif(lower(regexp_extract(html, '(?i){O.text(R.HTML_LANG)}', 1)), '') AS lang FROM pages")
+def page_lang(spark, d):
+    return table(spark, d, "pages").select("page_id", P.lang(F.col("html")).alias("lang"))
+
+
+@query("SELECT k, page_title FROM signals")
+def page_title(spark, d):
+    return X.pages(spark, d).select("k", P.title(F.col("html")).alias("page_title"))
+
+
+@query(
+    r"""SELECT page_id, regexp_replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b[^>]*>.*?</script>', ' ', 'g'),
+  '(?is)<style\b[^>]*>.*?</style>', ' ', 'g'), '(?i)<br\s*/?>|</p>|</div>|</li>|</tr>', chr(10), 'g'), '<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '&amp;', '&'), '[ \t]{2,}', ' ', 'g') AS body FROM pages"""
+)
+def strip_tags(spark, d):
+    return table(spark, d, "pages").select("page_id", P.strip_tags(F.col("html")).alias("body"))
+
+
+@query("SELECT k, platform, has_cart, has_product_schema, is_parked, has_og_image, has_meta_desc FROM signals")
+def page_signals(spark, d):
+    page = F.col("html")
+    headers = F.when(F.col("header_only") == 1, F.create_map(F.lit("X-ShopId"), F.lit("1"))).otherwise(F.create_map(F.lit("server"), F.lit("x")))
+    rows = X.pages(spark, d).withColumn("page_title", P.title(page))
+    return rows.select(
+        "k", P.platform(page, headers).alias("platform"), P.has_cart(page).alias("has_cart"), P.has_product_schema(page).alias("has_product_schema"),
+        P.is_parked(page, F.col("page_title")).alias("is_parked"), P.has_og_image(page).alias("has_og_image"), P.has_description(page).alias("has_meta_desc"),
+    )
+
+
+@query(
+    """SELECT k, CASE WHEN person IS NOT NULL THEN 'https://www.linkedin.com/in/' || person WHEN company IS NOT NULL THEN 'https://www.linkedin.com/company/' || company
+  WHEN short IS NOT NULL THEN 'https://lnkd.in/' || short END AS url, CASE WHEN person IS NOT NULL THEN 'personal' WHEN company IS NOT NULL THEN 'company' WHEN short IS NOT NULL THEN 'short' END AS kind FROM signals"""
+)
+def linkedin(spark, d):
+    return X.pages(spark, d).select("k", P.linkedin(F.col("html")).alias("x")).select("k", "x.url", "x.kind")
+
+
+@query("SELECT k, legal_url FROM signals")
+def legal_url(spark, d):
+    return X.pages(spark, d).select("k", P.legal_url(F.col("html"), F.col("base_url")).alias("legal_url"))
+
+
+@query(
+    """SELECT k, len(imgs)::INT AS image_count, len(list_filter(imgs, lambda t: NOT regexp_matches(t, 'alt="[^"]+"')))::INT AS images_no_alt, len(list_filter(imgs, lambda t: contains(t, 'loading="lazy"')))::INT AS images_lazy,
+  len(list_filter(imgs, lambda t: contains(t, 'srcset=')))::INT AS images_srcset, len(list_filter(imgs, lambda t: contains(t, 'src="https://')))::INT AS images_offsite,
+  len(list_filter(imgs, lambda t: contains(t, '.webp"')))::INT AS images_modern, CASE WHEN len(imgs) > 0 THEN base_url || 'p/a.jpg' END AS sample_image_url FROM signals"""
+)
+def image_audit(spark, d):
+    return X.pages(spark, d).select("k", P.audit_images(F.col("html"), F.col("base_url")).alias("x")).select("k", "x.*")
+
+
+@query()
+def owner(spark, d):
+    """Unicode names and procedural filtering: rows only."""
+    return X.pages(spark, d).select("k", P.owner(F.col("html")).alias("owner_name"))
+
+
+@query()
+def robots(spark, d):
+    """The standard library's parser on scripted rules: rows only."""
+    rows = spark.range(3000).selectExpr(
+        "id AS k", "CASE WHEN id % 7 = 0 THEN 503 WHEN id % 7 = 1 THEN 404 WHEN id % 7 <> 2 THEN 200 END AS status", "CASE WHEN id % 7 = 2 THEN 'refused' END AS error",
+        "CAST(CASE WHEN id % 7 = 3 THEN 'User-agent: *\\nDisallow: /' WHEN id % 7 = 4 THEN 'User-agent: *\\nDisallow: /admin' ELSE '' END AS BINARY) AS body", "concat('https://shop', id, '.example.com/') AS url",
+    )
+    return rows.select("k", urls.robots_allows(F.col("status"), F.col("body"), F.col("error"), F.col("url")).alias("x")).select("k", "x.*")
+
+
+@query(
+    """SELECT domain, CASE WHEN starts_with(coalesce(a_host, domain), 'www.') THEN ['https://' || a_host || '/', 'http://' || a_host || '/', 'https://' || domain || '/']
+  ELSE ['https://' || domain || '/', 'http://' || domain || '/', 'https://www.' || domain || '/'] END AS urls FROM t1 WHERE is_freemail = 0"""
+)
+def candidate_urls(spark, d):
+    return X.after_dns(spark, d).filter("is_freemail = 0").select("domain", urls.candidate_urls(F.col("domain"), F.col("a_host")).alias("urls"))
+
+
+@query(r"""SELECT page_id, regexp_replace(lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)), '^www[.]', '') AS host FROM pages""")
+def url_host(spark, d):
+    return table(spark, d, "pages").select("page_id", urls.host(F.col("url")).alias("host"))
+
+
+# --- observations and queues
+
+
+@query("SELECT domain, mx_provider FROM dns_raw")
+def mx_choice(spark, d):
+    rows = X.dns_answers(X.stores(X.newest(spark, d)))
+    return rows.select("domain", observe.mx_choice(F.col("mx")).alias("mx_provider"))
+
+
+@query("SELECT domain, dns_resolves, a_host, has_mx, mx_provider, dns_error, status, inconclusive FROM dns")
+def dns_verdict(spark, d):
+    return observe.dns_verdict(X.dns_answers(X.stores(X.newest(spark, d))))
+
+
+@query("SELECT target_key, dns_resolves, a_host, has_mx, mx_provider, dns_error, dns_attempts, dns_checked, status FROM t1")
+def dns_settle(spark, d):
+    done = F.col("dns_checked_at").isNotNull().cast("int").alias("dns_checked")
+    return X.after_dns(spark, d).select("target_key", "dns_resolves", "a_host", "has_mx", "mx_provider", "dns_error", "dns_attempts", done, "status")
+
+
+_HTTP = "http_status, final_url, page_title, response_time_ms, platform, has_cart, has_product_schema, is_parked, lang, robots_allowed, http_error, status"
+
+
+@query(f"SELECT domain, {_HTTP}, inconclusive FROM http")
+def http_verdict(spark, d):
+    t = queues.age_out(X.after_dns(spark, d))
+    return observe.http_verdict(X.http_responses(X.stores(queues.http_pending(t)), spark, d)).select("domain", *_HTTP.split(", "), "inconclusive")
+
+
+@query(f"SELECT target_key, http_attempts, http_checked, {_HTTP} FROM t3")
+def http_settle(spark, d):
+    return X.after_http(spark, d).select("target_key", "http_attempts", F.col("http_checked_at").isNotNull().cast("int").alias("http_checked"), *_HTTP.split(", "))
+
+
+_PROFILE = "profile_error, linkedin_url, linkedin_kind, image_count, images_no_alt, sample_image_bytes, owner_name"
+
+
+@query(f"SELECT target_key, profile_attempts, profile_checked, {_PROFILE.replace('sample_image_bytes', 'sample_image_bytes::BIGINT AS sample_image_bytes')} FROM t5")
+def profile_settle(spark, d):
+    return X.profiled(spark, d).select("target_key", "profile_attempts", F.col("profile_checked_at").isNotNull().cast("int").alias("profile_checked"), *_PROFILE.split(", "))
+
+
+@query("SELECT target_key, status FROM t2")
+def age_out(spark, d):
+    return queues.age_out(X.after_dns(spark, d)).select("target_key", "status")
+
+
+@query("SELECT domain FROM newest WHERE is_freemail = 0 ORDER BY domain LIMIT 100")
+def dns_pending(spark, d):
+    return queues.dns_pending(X.ingested(spark, d), limit=100).select("domain")
+
+
+@query("SELECT domain, created_year FROM t2 WHERE is_freemail = 0 AND dns_resolves = 1 AND (created_year IS NULL OR created_year >= 2020) ORDER BY created_year DESC NULLS LAST, domain LIMIT 100")
+def http_pending(spark, d):
+    return queues.http_pending(queues.age_out(X.after_dns(spark, d)), limit=100).select("domain", "created_year")
+
+
+@query("SELECT domain, score FROM t4 WHERE is_freemail = 0 AND status = 'live' AND tier = 'tier1_email' AND tld IN ('com', 'uk') ORDER BY score DESC NULLS LAST, domain LIMIT 50")
+def profile_pending(spark, d):
+    return queues.profile_pending(X.targets(spark, d), tier=S.TIER1, tlds=("com", "uk"), limit=50).select("domain", "score")
+
+
+@query("SELECT target_key, email FROM t4 WHERE tier = 'tier1_email'")
+def verify_pending(spark, d):
+    return queues.verify_pending(X.targets(spark, d)).select("target_key", "email")
+
+
+@query("SELECT target_key, CASE WHEN is_freemail = 0 AND domain < 'shop2' THEN 0 ELSE coalesce(k % 3, 0) END::INT AS dns_attempts FROM keyed")
+def force_reset(spark, d):
+    t = X.ingested(spark, d)
+    return queues.force_reset(t, queues.dns_pending(t, force=True).filter("domain < 'shop2'"), "dns").select("target_key", "dns_attempts")
+
+
+@query("SELECT target_key, CASE WHEN tier = 'tier1_email' AND is_role = 1 THEN 'role' WHEN tier = 'tier1_email' THEN 'unknown' END AS verify_result, CASE WHEN tier = 'tier1_email' THEN 'done' END AS verify_status FROM t4")
+def apply_verdicts(spark, d):
+    t = X.targets(spark, d)
+    verdicts = queues.verify_pending(t).select("target_key", F.when(F.col("is_role") == 1, "role").alias("result"))
+    return queues.apply_verdicts(t, verdicts, F.expr(X.NOW)).select("target_key", "verify_result", "verify_status")
+
+
+# --- scores and reports
+
+
+@query("SELECT target_key, raw AS points FROM scored")
+def score(spark, d):
+    return X.after_http(spark, d).select("target_key", scoring.score().alias("points"))
+
+
+@query("SELECT target_key, why FROM scored")
+def disqualify(spark, d):
+    return X.after_http(spark, d).select("target_key", scoring.disqualified().alias("why"))
+
+
+@query("SELECT target_key, tier, score, tier_reason FROM t4")
+def tier(spark, d):
+    return X.targets(spark, d).select("target_key", "tier", "score", "tier_reason")
+
+
+_STORE = "is_freemail = 0"
+_STEPS = [
+    ("targets ingested", "true", ""), ("freemail addresses (ads only, never crawled)", "is_freemail = 1", "of targets"), ("store domains", _STORE, "of targets"),
+    ("stage 2: DNS settled", f"{_STORE} AND dns_checked = 1", "of store domains"), ("resolving", "dns_resolves = 1", "of store domains"),
+    ("DNS awaiting retry (only ever timed out)", f"{_STORE} AND dns_checked = 0 AND dns_attempts > 0", "of store domains"), ("not yet looked up", f"{_STORE} AND dns_checked = 0 AND dns_attempts = 0", "of store domains"),
+    ("stage 3: below the 2020 cutoff (never fetched)", f"{_STORE} AND dns_resolves = 1 AND created_year < 2020", "of store domains"), ("stage 3: fetched", "http_checked = 1", "of store domains"),
+    ("live", "status = 'live'", "of store domains"), ("HTTP awaiting retry (only ever timed out)", f"{_STORE} AND dns_resolves = 1 AND http_checked = 0 AND http_attempts > 0", "of store domains"),
+    ("still to fetch", f"{_STORE} AND dns_resolves = 1 AND http_checked = 0 AND http_attempts = 0 AND status <> 'aged_out' AND (created_year IS NULL OR created_year >= 2020)", "of store domains"),
+    ("stage 4: tiered", "tier IS NOT NULL", "of targets"),
+]
+_BASE = {"": "NULL", "of targets": "(SELECT count(*) FROM t4)", "of store domains": f"(SELECT count(*) FROM t4 WHERE {_STORE})"}
+
+
+@query(" UNION ALL ".join(f"SELECT {i} AS position, '{k}' AS step, count(*) FILTER (WHERE {t}) AS n, '{b}' AS basis, 100.0::DOUBLE * (count(*) FILTER (WHERE {t})) / {_BASE[b]} AS share FROM t4" for i, (k, t, b) in enumerate(_STEPS)))
+def funnel(spark, d):
+    return reports.funnel(X.targets(spark, d))
+
+
+def _metrics_sql(source: str, tests: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT {i} AS position, '{k}' AS metric, count(*) FILTER (WHERE {t}) AS n FROM {source}" for i, (k, t) in enumerate(tests.items()))
+
+
+@query(_metrics_sql("newest", {"targets": "true", "freemail": "is_freemail = 1", "stores": "is_freemail = 0", "role addresses": "is_role = 1", "undated": "created IS NULL"}))
+def ingest_summary(spark, d):
+    return reports.ingest_summary(X.ingested(spark, d))
+
+
+@query(_metrics_sql("t1", {"checked": f"{_STORE} AND dns_checked = 1", "resolving": f"{_STORE} AND dns_resolves = 1", "www only": f"{_STORE} AND a_host LIKE 'www.%'", "with mail": f"{_STORE} AND has_mx = 1", "mail only": "status = 'mx_only'", "dead": "status = 'dead'"}))
+def dns_summary(spark, d):
+    return reports.dns_summary(X.after_dns(spark, d))
+
+
+@query(_metrics_sql("t4", {"fetched": "http_checked = 1", "live": "status = 'live'", "with cart": "status = 'live' AND has_cart = 1", "with schema": "status = 'live' AND has_product_schema = 1", "unidentified": "status = 'live' AND platform IS NULL", "awaiting retry": "http_checked = 0 AND http_attempts > 0"}))
+def http_summary(spark, d):
+    return reports.http_summary(X.targets(spark, d))
+
+
+@query(_metrics_sql("t5", {"profiled": "profile_checked = 1", "with linkedin": "profile_checked = 1 AND linkedin_url IS NOT NULL", "personal": "profile_checked = 1 AND linkedin_kind = 'personal'", "with owner": "profile_checked = 1 AND owner_name IS NOT NULL", "with images": "profile_checked = 1 AND image_count > 0", "failed": "profile_checked = 1 AND profile_error IS NOT NULL"}))
+def profile_summary(spark, d):
+    return reports.profile_summary(X.profiled(spark, d))
+
+
+def _summary(column: str):
+    @query(f"SELECT {column}, count(*) AS n FROM t4 GROUP BY {column}", f"summarize_{column}")
+    def run(spark, d):
+        return reports.summarize(X.targets(spark, d), column)
+
+
+for _c in ("status", "platform", "jurisdiction", "created_year"):
+    _summary(_c)
+
+
+def _top(column: str, source, cte: str, n: int):
+    @query(f"SELECT {column}, count(*) AS n FROM {cte} WHERE {column} IS NOT NULL GROUP BY {column} ORDER BY n DESC, {column} LIMIT {n}", f"top_{column}")
+    def run(spark, d):
+        return reports.top(source(spark, d), column, n)
+
+
+_top("mx_provider", X.after_dns, "t1", 15)
+_top("http_error", X.after_http, "t3", 10)
+_top("profile_error", X.profiled, "t5", 8)
+
+
+@query("SELECT status, n, 100.0::DOUBLE * n / greatest(sum(n) OVER (), 1) AS share FROM (SELECT status, count(*) AS n FROM t4 GROUP BY status)")
+def status_shares(spark, d):
+    return reports.shares(X.targets(spark, d), "status")
+
+
+@query(
+    """SELECT b * 10 AS low, CASE WHEN b = 9 THEN 100 ELSE b * 10 + 9 END AS high, n, sum(n) OVER (ORDER BY b DESC)::BIGINT AS at_or_above, repeat('#', round_even(40.0::DOUBLE * n / greatest(sum(n) OVER (), 1), 0)::INT) AS bar
+  FROM (SELECT r.range AS b, count(t.score) AS n FROM range(10) r LEFT JOIN (SELECT score FROM t4 WHERE status = 'live' AND tier IS NOT NULL AND tier <> 'dropped') t ON least(t.score // 10, 9) = r.range GROUP BY r.range)"""
+)
+def histogram(spark, d):
+    return reports.histogram(X.targets(spark, d))
+
+
+@query("SELECT min(score) AS min_score, avg(score) AS avg_score, max(score) AS max_score FROM t4 WHERE tier = 'tier1_email'")
+def tier1_stats(spark, d):
+    return reports.tier_stats(X.targets(spark, d))
+
+
+@query("SELECT tld, count(*) AS n FROM t4 WHERE tier = 'tier1_email' GROUP BY tld ORDER BY n DESC, tld LIMIT 20")
+def tier1_tlds(spark, d):
+    return reports.tier_tlds(X.targets(spark, d))
+
+
+@query("SELECT tier_reason, count(*) AS n FROM t4 WHERE tier = 'dropped' GROUP BY tier_reason ORDER BY n DESC, tier_reason LIMIT 10")
+def drop_reasons(spark, d):
+    return reports.drop_reasons(X.targets(spark, d))
+
+
+def _tier_rows(tier: str):
+    extra = ", tier_reason AS reason" if tier == S.DROPPED else ""
+
+    @query(f"SELECT {', '.join(reports.TIER_COLUMNS)}{extra} FROM t4 WHERE tier = '{tier}'", f"tier_rows_{tier}")
+    def run(spark, d):
+        return reports.tier_rows(X.targets(spark, d), tier)
+
+
+for _t in (S.TIER1, S.TIER2, S.TIER3, S.DROPPED):
+    _tier_rows(_t)
+
+_SHEETS = {
+    "best leads": "image_count >= 20 AND has_cart = 1 AND tier <> 'dropped' AND (owner_name IS NOT NULL OR linkedin_url IS NOT NULL)",
+    "image sites no cart": "image_count >= 20 AND coalesce(has_cart, 0) = 0 AND (owner_name IS NOT NULL OR linkedin_url IS NOT NULL)",
+    "named owners": "owner_name IS NOT NULL",
+    "linkedin only": "linkedin_url IS NOT NULL AND owner_name IS NULL",
+    "image heavy no contact": "image_count >= 20 AND owner_name IS NULL AND linkedin_url IS NULL",
+}
+
+
+def _sheet(name: str, test: str):
+    @query(
+        f"""SELECT domain, email, CASE WHEN tier = 'tier1_email' THEN 'yes' ELSE 'NO' END AS email_ok, CASE WHEN owner_name IS NOT NULL AND linkedin_url IS NOT NULL THEN 'name+linkedin' WHEN owner_name IS NOT NULL THEN 'named owner'
+  WHEN linkedin_kind = 'personal' THEN 'linkedin person' WHEN linkedin_url IS NOT NULL THEN 'linkedin company' ELSE 'email only' END AS contact_route, owner_name, linkedin_url, linkedin_kind, tier, score, platform, jurisdiction,
+  created_year, image_count, images_no_alt, sample_image_bytes::BIGINT // 1024 AS sample_image_kb, page_title, final_url FROM t5 WHERE profile_checked = 1 AND {test}""",
+        "outreach_" + name.replace(" ", "_"),
+    )
+    def run(spark, d):
+        return reports.outreach_sheets(X.profiled(spark, d))[name]
+
+
+for _n, _w in _SHEETS.items():
+    _sheet(_n, _w)
+
+
+@query("SELECT k, regexp_replace(page_title || chr(7) || 'x', '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g') AS cell FROM signals")
+def clean_cell(spark, d):
+    return X.pages(spark, d).select("k", ingest.unescaped(F.concat(P.title(F.col("html")), F.lit("\x07x"))).alias("cell"))
+
+
+@query("SELECT row_idx, CASE WHEN row_idx % 3 = 0 THEN true ELSE false END AS header FROM contacts")
+def header_skip(spark, d):
+    cells = F.expr("CASE row_idx % 3 WHEN 0 THEN array(' Created', 'Emails') WHEN 1 THEN array('created', email) ELSE array('2020', NULL) END")
+    return X.contacts(spark, d).select("row_idx", C.is_header_row(cells).alias("header"))

@@ -69,7 +69,7 @@ def upsert(targets: DataFrame, batch: DataFrame) -> DataFrame:
     columns = []
     for c in targets.columns:
         o = F.col(f"o.{c}")
-        n = F.col(f"n.{c}") if c in batch.columns else F.lit(None)
+        n = F.col(f"n.{c}") if c in batch.columns else F.lit(S.DEFAULTS.get(c))
         if c == "email_count":
             value = F.coalesce(o, F.lit(0)) + F.coalesce(n, F.lit(0))
         elif c in CONTACT:

@@ -1,7 +1,8 @@
 """MinHash near-duplicate detection by an inverted join of signature coordinates.
 
 Every document has a signature of ``COORDINATES`` coordinates, each a hash of
-``ROWS`` minima, and a finer one-byte-per-minimum sketch.  A document is posted
+``ROWS`` minima, and a finer sketch: the least hash of each of ``BINS`` equal
+bins of the hash range, four bits of it (one-permutation hashing).  A document is posted
 under each coordinate-value pair of its prefix: two documents that agree on at
 least ``MATCHES`` coordinates must meet within the first
 ``COORDINATES - MATCHES + 1`` of them, so the others are never posted.
@@ -15,8 +16,8 @@ rounds, neither of which emits all pairs of a posting list:
   is linear in the postings, and ties lists of true copies together.
 * rest round: lists whose documents are still in several components are compared
   across components only, in blocks.  A pair is skipped when it shares an
-  earlier coordinate, when the set sizes rule it out, or when too few minima of
-  the sketch match.  The largest component of a list is never compared with
+  earlier coordinate, when the set sizes rule it out, or when too few bins of
+  the sketches match.  The largest component of a list is never compared with
   itself, so the work follows what the first round left open.
 
 All links are confirmed on the full shingle sets, rebuilt from both texts.
@@ -29,20 +30,21 @@ from functools import lru_cache
 from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kontora.llm.common import cut
+from kontora.llm.common import cut, small_enough
 
 COORDINATES, ROWS, MATCHES = 20, 3, 2
-#: Minima of the sketch; documents that agree on fewer than mean less 5.5
-#: standard deviations at the threshold are not compared in full.
-SKETCH = 192
+#: Bins of the sketch.  Pairs are confirmed if their bins allow the similarity
+#: within so many standard deviations of its estimate.
+BINS, DEVIATIONS = 1024, 5.5
 #: Side of a block of the rest round.
-BLOCK = 2048
+BLOCK = 512
+#: Most ids that may be broadcast (8 bytes each) to pick texts for confirming.
+BROADCAST_IDS = 1_000_000
 #: Word hashes kept by a worker.
 CACHE = 400_000
 
@@ -101,17 +103,35 @@ def minima(hashes: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def sketch_of(hashes: np.ndarray) -> bytes:
+    """A code of 1 to 15 for the least of the sorted hashes in each bin, 0 if none."""
+    place = (hashes >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+    codes = np.zeros(BINS, np.uint8)
+    codes[place[first]] = _mix(hashes[first]) % np.uint64(15) + np.uint64(1)
+    return (codes[::2] | codes[1::2] << 4).tobytes()
+
+
+def agree(one: np.ndarray, many: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """Which rows of ``many`` may reach ``similarity`` with ``one``; ``sizes`` adds
+    up the two sets of each pair.  The variance is that of one-permutation hashing
+    (Li, Owen and Zhang 2012): small when the bins hold most of the union."""
+    x = one ^ many
+    either = one | many
+    same = ((x & 15) == 0) & ((either & 15) > 0), ((x >> 4) == 0) & ((either >> 4) > 0)
+    both = np.count_nonzero(either & 15, axis=1) + np.count_nonzero(either >> 4, axis=1)
+    hits = np.count_nonzero(same[0], axis=1) + np.count_nonzero(same[1], axis=1)
+    union = np.maximum(sizes / (1 + similarity), 2)
+    spread = similarity * (1 - similarity) * np.maximum((1 + 1 / (union - 1)) / np.maximum(both, 1) - 1 / (union - 1), 1e-5)
+    return hits >= both * (similarity - DEVIATIONS * np.sqrt(spread)) - 1
+
+
 def signature(hashes: np.ndarray) -> tuple[np.ndarray, bytes]:
-    m = minima(hashes, SKETCH)
-    own = m[: COORDINATES * ROWS].reshape(COORDINATES, ROWS)
+    own = minima(hashes, COORDINATES * ROWS).reshape(COORDINATES, ROWS)
     c = np.zeros(COORDINATES, np.uint64)
     for j in range(ROWS):
         c = _mix(c + own[:, j] + np.uint64(0x9E3779B97F4A7C15))
-    return c.view(np.int64), (_mix(m) >> np.uint64(56)).astype(np.uint8).tobytes()
-
-
-def least_matches(similarity: float) -> int:
-    return int(SKETCH * similarity - 5.5 * (SKETCH * similarity * (1 - similarity)) ** 0.5)
+    return c.view(np.int64), sketch_of(hashes)
 
 
 def _describe(width: int):
@@ -151,33 +171,55 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(kind, pa.int32())], ["a", "b", "kind"])
 
 
+def _cell(rows: list[tuple], similarity: float) -> tuple[list[int], list[int]]:
+    """Pairs of one block: rows that ask (or None: all) against those that answer."""
+    right = [r for r in rows if not r[0]]
+    left = [r for r in rows if r[0] or r[0] is None and r[5]]
+    found_a, found_b = [], []
+    if not left or not right:
+        return found_a, found_b
+    _, _, doc, n, comp, open_ = (np.array(x) for x in zip(*(r[:6] for r in right), strict=True))
+    coords = np.array([r[6] for r in right])
+    sketch = np.frombuffer(b"".join(r[7] for r in right), np.uint8).reshape(len(right), -1)
+    doc, n, comp, open_ = doc.astype(np.int64), n.astype(np.int64), comp.astype(np.int64), open_.astype(bool)
+    for _, j, own, m, of, _, c, s in left:
+        at = np.flatnonzero((comp != of) & (np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-9) & ((doc > own) | ~open_))
+        if len(at):
+            same = coords[at] == np.array(c)
+            at = at[(same.argmax(axis=1) == j) & (same.sum(axis=1) >= MATCHES)]
+        if len(at):
+            at = at[agree(np.frombuffer(s, np.uint8), sketch[at], n[at] + m, similarity)]
+            found_a += [own] * len(at)
+            found_b += doc[at].tolist()
+    return found_a, found_b
+
+
 def _compare(similarity: float):
-    least = least_matches(similarity)
-
-    def run(cell: pd.DataFrame) -> pd.DataFrame:
-        found_a, found_b = [], []
-        left, right = cell[cell["asks"]], cell[~cell["asks"]]
-        if len(left) and len(right):
-            n, comp, doc = right["n"].to_numpy(), right["comp"].to_numpy(), right["id"].to_numpy()
-            sketch = np.frombuffer(b"".join(right["sketch"]), np.uint8).reshape(len(right), -1)
-            coords = np.stack(right["coords"].to_numpy())
-            for row in left.itertuples():
-                ok = (comp != row.comp) & (np.minimum(n, row.n) >= similarity * np.maximum(n, row.n) - 1e-9)
-                ok &= (doc > row.id) | ~right["open"].to_numpy()
-                at = np.flatnonzero(ok)
-                if not len(at):
-                    continue
-                same = coords[at] == np.asarray(row.coords)
-                at = at[(same.argmax(axis=1) == row.j) & (same.sum(axis=1) >= MATCHES)]
-                if len(at):
-                    at = at[(sketch[at] == np.frombuffer(row.sketch, np.uint8)).sum(axis=1) >= least]
-                found_a += [row.id] * len(at)
-                found_b += doc[at].tolist()
-        return pd.DataFrame({"a": np.array(found_a, np.int64), "b": np.array(found_b, np.int64)})
+    """Reads blocks one after the other; their rows are sorted together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+        for batch in batches:
+            a, b = [], []
+            for k, u, v, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (k, u, v) != key:
+                    for out, new in zip((a, b), _cell(rows, similarity), strict=True):
+                        out += new
+                    key, rows = (k, u, v), []
+                rows.append(tuple(row))
+            if a:
+                yield _pairs(a, b)
+        a, b = _cell(rows, similarity)
+        if a:
+            yield _pairs(a, b)
 
     return run
 
 
+def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
 def _confirm(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,7 +294,7 @@ def _links(base: DataFrame, signed: DataFrame, width: int, percent: int) -> Data
     met = met.mapInArrow(_meet, "a bigint, b bigint, kind int")
     counted = met.groupBy("a", "b", "kind").agg(F.count(F.lit(1)).alias("hits"))
     best = counted.groupBy("b", "kind").agg(F.max(F.struct("hits", (-F.col("a")).alias("a"))).alias("x"))
-    first = cut(_confirmed(base, best.select((-F.col("x.a")).alias("a"), "b").distinct(), width, percent, pairs))
+    first = cut(_confirmed(base, cut(best.select((-F.col("x.a")).alias("a"), "b").distinct()), width, percent, pairs))
     comp = cut(components(first))
     rest = cut(_rest(signed, comp, posts, key, percent / 100, pairs))
     return first.union(_confirmed(base, rest, width, percent, pairs))
@@ -271,15 +313,19 @@ def _rest(signed: DataFrame, comp: DataFrame, posts: DataFrame, key, similarity:
     rows = rows.join(signed, "id")
     side = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    left = rows.filter("open").withColumn("u", side("u_sides")).withColumn("v", F.explode(every("v_sides")))
-    right = rows.withColumn("v", side("v_sides")).withColumn("u", F.explode(every("u_sides")))
-    cells = left.withColumn("asks", F.lit(True)).unionByName(right.withColumn("asks", F.lit(False)))
-    cells = cells.select("key", "u", "v", "asks", "j", "id", "n", "comp", "open", "coords", "sketch")
-    return cells.groupBy("key", "u", "v").applyInPandas(_compare(similarity), pairs).distinct()
+    one = (F.col("u_sides") == 1) & (F.col("v_sides") == 1)
+    whole = rows.filter(one).withColumn("u", F.lit(0)).withColumn("v", F.lit(0)).withColumn("asks", F.lit(None).cast("boolean"))
+    left = rows.filter(~one & F.col("open")).withColumn("u", side("u_sides")).withColumn("v", F.explode(every("v_sides"))).withColumn("asks", F.lit(True))
+    right = rows.filter(~one).withColumn("v", side("v_sides")).withColumn("u", F.explode(every("u_sides"))).withColumn("asks", F.lit(False))
+    cells = whole.unionByName(left).unionByName(right).select("key", "u", "v", "asks", "j", "id", "n", "comp", "open", "coords", "sketch")
+    return cells.repartition("key", "u", "v").sortWithinPartitions("key", "u", "v").mapInArrow(_compare(similarity), pairs).distinct()
 
 
 def _confirmed(base: DataFrame, candidates: DataFrame, width: int, percent: int, pairs: str) -> DataFrame:
     text = base.filter("id is not null")
+    ids = candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    if small_enough(ids, BROADCAST_IDS):  # else the joins alone pick the texts
+        text = text.join(F.broadcast(ids), "id", "left_semi")
     x = candidates.join(text.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
     both = x.join(text.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
     return both.mapInArrow(_confirm(width, percent), pairs)

@@ -96,20 +96,22 @@ def contained(
 
 
 def _of_width(base: DataFrame, known: DataFrame, width: int) -> DataFrame:
+    """(doc_id, item, found, size) of the items whose shingles have ``width`` words."""
     rows = base.withColumn("hits", F.array_distinct(shingle_hashes(F.col("words"), width))).withColumn("n", F.size("hits"))
     if small_enough(known, LITERAL_ROWS):
+        # Few sketches: documents without a hit end here, the others keep their words.
         wanted = [r["h"] for r in known.select("h").distinct().collect()]
         held = F.filter("hits", lambda h: h.isin(wanted)) if wanted else F.array().cast("array<bigint>")
-        rows = rows.withColumn("hits", held).filter(F.size("hits") > 0)
-    # Size partitions: an item that needs more shingles than a document has is not tried.
-    hit = rows.select("doc_id", "words", "n", F.explode("hits").alias("h"))
-    if small_enough(known, BROADCAST_ROWS):
+        hit = rows.withColumn("hits", held).filter(F.size("hits") > 0).select("doc_id", "words", "n", F.explode("hits").alias("h"))
         pairs = hit.join(F.broadcast(known), "h").filter(F.col("n") >= F.col("need"))
     else:
-        narrow = hit.select("doc_id", "n", "h").join(known.select("h", "item", "need"), "h").filter(F.col("n") >= F.col("need"))
-        ids = narrow.select("doc_id", "item").distinct()
-        texts = base.join(ids, "doc_id")
-        pairs = texts.join(known.select("item", "own", "need").dropDuplicates(["item"]), "item")
+        # Many: hashes alone are joined, and words come back for the pairs found.
+        keys = known.select("h", "item", "need")
+        keys = F.broadcast(keys) if small_enough(known, BROADCAST_ROWS) else keys
+        hit = rows.select("doc_id", "n", F.explode("hits").alias("h")).join(keys, "h").filter(F.col("n") >= F.col("need"))
+        found = cut(hit.select("doc_id", "item").distinct())
+        pairs = base.join(found, "doc_id").join(known.select("item", "own", "need").dropDuplicates(["item"]), "item")
+    # Size partitions: an item that needs more shingles than a document has was not tried.
     tried = pairs.select("doc_id", "item", "need", F.size("own").alias("size"), F.size(F.array_intersect("own", shingles(F.col("words"), width))).alias("found"))
     return tried.filter(F.col("found") >= F.col("need")).select("doc_id", "item", "found", "size")
 

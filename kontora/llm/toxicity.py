@@ -156,9 +156,9 @@ def classify(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame
     """``docs`` with ``p_<category>`` and the boolean ``<category>`` of each.
 
     These replace input columns of the same name; other columns stay.  Null and
-    empty texts have no words and get the models' bias alone; with nothing to
-    learn from, every probability is a half and nothing is flagged.  Whole
-    texts count.
+    empty texts, and others without a word the models know, get the models' bias
+    alone and are never flagged; with nothing to learn from that is every text.
+    Whole texts count.
     """
     held = docs.sparkSession.sparkContext.broadcast(chain)
     names = chain.categories
@@ -171,8 +171,9 @@ def classify(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                p = predict(c, matrix([word_hashes(t) for t in batch.column(place).to_pylist()], c.words))
-                flags = [pa.array(p[:, k] > max(t, 1e-9) if c.words else np.zeros(len(p), bool)) for k, t in enumerate(c.thresholds)]
+                x = matrix([word_hashes(t) for t in batch.column(place).to_pylist()], c.words)
+                p, known = predict(c, x), x.any(axis=1)
+                flags = [pa.array((p[:, k] > t) & known) for k, t in enumerate(c.thresholds)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(p[:, k].astype(float)) for k in range(len(names))), *flags], [*batch.schema.names, *made])
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields]

@@ -17,9 +17,10 @@ half of all pieces share is still dealt over many tasks.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_right
-from collections import Counter
+from collections import ChainMap, Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,7 +36,7 @@ CAPACITY, END_ID = 1024, 2
 #: Least number of buckets of a length, and rows a bucket may hold beyond it.
 BUCKETS, BUCKET_ROWS = 1024, 1_000_000
 #: Chunks whose ids a worker keeps, and the longest chunk it keeps.
-CACHE, LONGEST = 600_000, 64
+CACHE, LONGEST = 400_000, 64
 
 Pattern = tuple[int, ...]
 
@@ -53,9 +54,13 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        #: Parts after a space, and whole chunks; each with an older generation,
+        #: so that frequent ones outlive a full table.
+        self.spaced: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.whole: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
 
     def chunks(self, text: str) -> list[str]:
+        """Chunks of a text in which some space comes before white space or the end."""
         first, *rest = text.split(" ")
         out = [first]
         for part in rest:
@@ -65,20 +70,36 @@ class Encoder:
                 out[-1] += " " + part
         return out
 
+    def look_up(self, kind: str, wanted: set[str], before: str) -> dict[str, bytes]:
+        """The table of ``kind`` with all of ``wanted`` in it."""
+        new, old = getattr(self, kind)
+        if len(new) > CACHE:
+            new, old = {}, new
+            setattr(self, kind, (new, old))
+        missing = wanted.difference(new)
+        for c in missing.intersection(old):
+            new[c] = old[c]
+        missing = list(missing.difference(old))
+        extra = {}
+        for at in range(0, len(missing), 8192):
+            part = missing[at : at + 8192]
+            for c, e in zip(part, self.tokenizer.encode_batch_fast([before + c for c in part], add_special_tokens=False), strict=True):
+                (new if len(c) <= LONGEST else extra)[c] = np.array(e.ids, "<u4").tobytes()
+        return ChainMap(new, extra) if extra else new
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        each = [self.chunks(t) for t in texts]
-        wanted = {c for x in each for c in x}
-        if len(self.known) > CACHE:
-            self.known.clear()
-        known, extra = self.known, {}
-        new = [c for c in wanted if c not in known]
-        for at in range(0, len(new), 8192):
-            part = new[at : at + 8192]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                (known if len(c) <= LONGEST else extra)[c] = np.array(e.ids, "<u4").tobytes()
-        if extra:
-            return [b"".join([known[c] if c in known else extra[c] for c in x]) for x in each]
-        return [b"".join(map(known.__getitem__, x)) for x in each]
+        parts = [None if _AWKWARD.search(t) else t.split(" ") for t in texts]
+        chunks = [self.chunks(t) if p is None else p[:1] for t, p in zip(texts, parts, strict=True)]
+        whole = self.look_up("whole", {c for x in chunks for c in x}, "")
+        spaced = self.look_up("spaced", set().union(*(p[1:] for p in parts if p)), " ")
+        out = []
+        for p, c in zip(parts, chunks, strict=True):
+            ids = b"".join(map(whole.__getitem__, c))
+            out.append(ids + b"".join(map(spaced.__getitem__, p[1:])) if p else ids)
+        return out
+
+
+_AWKWARD = re.compile(r" (?:\s|\Z)")
 
 
 @lru_cache

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 #: Labelled rows of each combination of labels, words of a model, folds.
 SAMPLE, WORDS, FOLDS = 1200, 2500, 5
+#: Least chi-squared of a word, so that among 100,000 words few pass by chance.
+LEAST_GAIN = 20.0
 _PLAIN = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _STEP = 1 << 20
 
@@ -44,7 +46,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, steps: int = 120) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 3e-4, steps: int = 120) -> np.ndarray:
     """Weights with the bias last, by accelerated gradient steps."""
     x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     # Lipschitz bound of the mean loss: a quarter of the largest eigenvalue.
@@ -78,7 +80,8 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 
 
 def select_words(sets: list[list[int]], labels: np.ndarray, most: int, least: int = 3) -> dict[int, int]:
-    """The words whose presence moves the label rates most, by chi-squared."""
+    """The words whose presence moves the label rates most, by chi-squared, of
+    those where this is no accident: others only teach a model its own sample."""
     known, index = np.unique(np.concatenate([np.array(s, np.int64) for s in sets] or [np.zeros(0, np.int64)]), return_inverse=True)
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     df = np.bincount(index, minlength=len(known)).astype(float)
@@ -88,7 +91,7 @@ def select_words(sets: list[list[int]], labels: np.ndarray, most: int, least: in
         if 0 < rate < 1:
             hits = np.bincount(index, weights=y[row], minlength=len(known))
             gain = np.maximum(gain, (hits - df * rate) ** 2 / (df * rate * (1 - rate) + 1e-9))
-    gain[df < least] = -1
+    gain[(df < least) | (gain < LEAST_GAIN)] = -1
     top = np.argsort(-gain, kind="stable")[:most]
     return {int(known[i]): k for k, i in enumerate(t for t in top if gain[t] >= 0)}
 

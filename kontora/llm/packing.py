@@ -18,7 +18,9 @@ half of all pieces share is still dealt over many tasks.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
+from array import array
 from bisect import bisect_right
 from collections import ChainMap, Counter
 from collections.abc import Iterator
@@ -35,7 +37,8 @@ from kontora.llm.common import cut
 CAPACITY, END_ID = 1024, 2
 #: Least number of buckets of a length, and rows a bucket may hold beyond it.
 BUCKETS, BUCKET_ROWS = 1024, 1_000_000
-#: Chunks whose ids a worker keeps, and the longest chunk it keeps.
+#: Chunks whose ids a worker keeps (twice as many for a while; workers outlive a
+#: stage, and this stays with them), and the longest chunk it keeps.
 CACHE, LONGEST = 400_000, 64
 
 Pattern = tuple[int, ...]
@@ -70,33 +73,36 @@ class Encoder:
                 out[-1] += " " + part
         return out
 
-    def look_up(self, kind: str, wanted: set[str], before: str) -> dict[str, bytes]:
-        """The table of ``kind`` with all of ``wanted`` in it."""
+    def look_up(self, kind: str, each: list[list[str]], before: str) -> list[list[bytes]]:
+        """The ids of every chunk of every text; what is new is encoded together."""
         new, old = getattr(self, kind)
         if len(new) > CACHE:
             new, old = {}, new
             setattr(self, kind, (new, old))
-        missing = wanted.difference(new)
+        got = [list(map(new.get, x)) for x in each]
+        missing = {c for x, ids in zip(each, got, strict=True) if None in ids for c, i in zip(x, ids, strict=True) if i is None}
         for c in missing.intersection(old):
             new[c] = old[c]
-        missing = list(missing.difference(old))
-        extra = {}
-        for at in range(0, len(missing), 8192):
-            part = missing[at : at + 8192]
+        rest, extra = list(missing.difference(old)), {}
+        for at in range(0, len(rest), 8192):
+            part = rest[at : at + 8192]
             for c, e in zip(part, self.tokenizer.encode_batch_fast([before + c for c in part], add_special_tokens=False), strict=True):
-                (new if len(c) <= LONGEST else extra)[c] = np.array(e.ids, "<u4").tobytes()
-        return ChainMap(new, extra) if extra else new
+                (new if len(c) <= LONGEST else extra)[c] = _packed(e.ids)
+        table = ChainMap(new, extra) if extra else new
+        return [[table[c] if i is None else i for c, i in zip(x, ids, strict=True)] if None in ids else ids for x, ids in zip(each, got, strict=True)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [None if _AWKWARD.search(t) else t.split(" ") for t in texts]
-        chunks = [self.chunks(t) if p is None else p[:1] for t, p in zip(texts, parts, strict=True)]
-        whole = self.look_up("whole", {c for x in chunks for c in x}, "")
-        spaced = self.look_up("spaced", set().union(*(p[1:] for p in parts if p)), " ")
-        out = []
-        for p, c in zip(parts, chunks, strict=True):
-            ids = b"".join(map(whole.__getitem__, c))
-            out.append(ids + b"".join(map(spaced.__getitem__, p[1:])) if p else ids)
-        return out
+        whole = self.look_up("whole", [self.chunks(t) if p is None else p[:1] for t, p in zip(texts, parts, strict=True)], "")
+        spaced = self.look_up("spaced", [p[1:] if p else [] for p in parts], " ")
+        return [b"".join(w) + b"".join(s) for w, s in zip(whole, spaced, strict=True)]
+
+
+def _packed(ids: list[int]) -> bytes:
+    a = array("I", ids)  # four bytes on every platform Spark runs on
+    if sys.byteorder == "big":
+        a.byteswap()
+    return a.tobytes()
 
 
 _AWKWARD = re.compile(r" (?:\s|\Z)")

@@ -85,17 +85,11 @@ def small_enough(df: DataFrame, limit: int) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
-def arrow_map(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]):
-    """A ``mapInArrow`` function from a function of one batch."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                out = fn(batch)
-                if out is not None and out.num_rows:
-                    yield out
-
-    return run
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of at most ``rows``, so that what a worker makes of one stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def extended(schema, **columns: str) -> str:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kontora.llm.common import cut, small_enough
+from kontora.llm.common import cut, slices, small_enough
 
 COORDINATES, ROWS, MATCHES = 20, 3, 2
 #: Bins of the sketch.  Pairs are confirmed if their bins allow the similarity
@@ -46,7 +46,7 @@ BLOCK = 512
 #: Most ids that may be broadcast (8 bytes each) to pick texts for confirming.
 BROADCAST_IDS = 1_000_000
 #: Word hashes kept by a worker.
-CACHE = 400_000
+CACHE = 150_000
 
 
 class _Words(dict):
@@ -136,7 +136,7 @@ def signature(hashes: np.ndarray) -> tuple[np.ndarray, bytes]:
 
 def _describe(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n, own, coords, sketch = [], [], [], []
             for text in batch.column(1).to_pylist():
                 h = shingle_hashes(words_of(text), width)
@@ -222,7 +222,7 @@ def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
 
 def _confirm(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ok, held, own = [], None, set()
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 if x != held:

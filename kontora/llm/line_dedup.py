@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kontora.llm.common import PRIVATE, SPACE_BYTES, cut, extended
+from kontora.llm.common import PRIVATE, SPACE_BYTES, cut, extended, slices
 
 #: Bits of each filter, positions set for a hash, bytes of a chunk of a filter.
 FILTER_BITS, POSITIONS, CHUNK = 1 << 25, 3, 4096
@@ -58,7 +58,7 @@ def _hashes(keys: list[bytes]) -> np.ndarray:
 def _build(min_chars: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice = np.zeros(bits, bool), np.zeros(bits, bool)
-        for batch in batches:
+        for batch in slices(batches):
             keys: list[bytes] = []
             for text in batch.column(0).to_pylist():
                 keys += keys_of(text, min_chars)
@@ -138,7 +138,7 @@ def dedup_lines(
         return [[k for k in x if next(hit)] for x in each]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = suspects_of(batch.column(1).to_pylist())
             at = np.repeat(np.arange(len(found)), [len(x) for x in found])
             if len(at):
@@ -148,7 +148,7 @@ def dedup_lines(
 
     def divide(want: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 found = suspects_of(batch.column(batch.schema.get_field_index(key_text)).to_pylist())
                 out = batch.filter(pa.array([bool(x) == want for x in found]))
                 if out.num_rows:
@@ -157,9 +157,10 @@ def dedup_lines(
         return run
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             kept, n, lost = [], [], []
-            for text, drop in zip(batch.column(key_text).to_pylist(), batch.column(key_drop).to_pylist(), strict=True):
+            drops = batch.column(key_drop).to_pylist() if key_drop in batch.schema.names else [None] * batch.num_rows
+            for text, drop in zip(batch.column(key_text).to_pylist(), drops, strict=True):
                 lines, gone = (text or b"").split(b"\n"), set(drop or ())
                 if gone:
                     stay = [x for x in lines if (k := key_of(x, min_chars)) is None or digest(k) not in gone]
@@ -175,6 +176,8 @@ def dedup_lines(
     id_type = docs.schema[id_col].dataType.simpleString()
     suspects = cut(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t")).mapInArrow(emit, f"id {id_type}, key binary"))
     repeated = suspects.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keep")).filter(F.col("n") >= min_docs)
+    # Cut, so that both sides of the join are plain shuffles, which may be split for a frequent line.
+    repeated = cut(repeated)
     dropped = suspects.join(repeated, "key").filter(~F.col("id").eqNullSafe(F.col("keep")))
     lists = dropped.groupBy(F.col("id").alias(key_id)).agg(F.collect_set("key").alias(key_drop))
 
@@ -182,10 +185,12 @@ def dedup_lines(
     rest = [c for c in names if c not in (text_col, "n_lines", "n_dropped")]
     base = docs.select(*(F.col(f"`{c}`") for c in rest), F.col(text_col).cast("binary").alias(key_text))
     schema = extended(base.schema)
-    clean = base.mapInArrow(divide(False), schema).withColumn(key_drop, F.lit(None).cast("array<binary>"))
-    dirty = base.mapInArrow(divide(True), schema).join(lists, F.col(f"`{id_col}`").eqNullSafe(F.col(key_id)), "left").drop(key_id)
     body = ", ".join(f"`{c}` {base.schema[c].dataType.simpleString()}" for c in rest)
-    done = clean.unionByName(dirty).mapInArrow(apply, f"{body}, `{key_text}` string, n_lines bigint, n_dropped bigint")
+    final = f"{body}, `{key_text}` string, n_lines bigint, n_dropped bigint"
+    # Rows without a suspect are finished in the pass that finds them: one worker a task.
+    clean = base.mapInArrow(lambda batches: apply(divide(False)(batches)), final)
+    dirty = base.mapInArrow(divide(True), schema).join(lists, F.col(f"`{id_col}`").eqNullSafe(F.col(key_id)), "left").drop(key_id)
+    done = clean.unionByName(dirty.mapInArrow(apply, final))
     order = [F.col(key_text).alias(c) if c == text_col else F.col(f"`{c}`") for c in names if c not in ("n_lines", "n_dropped")]
     return done.select(*order, "n_lines", "n_dropped")
 

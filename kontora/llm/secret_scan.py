@@ -4,9 +4,11 @@ Pattern spans (assign, access, hex) come from regular expressions.  The method
 adds spans of kind ``random``: runs of 20 or more token characters that look as
 if drawn at random from the alphabet of their encoding.
 
-For each run the encoding is inferred (decimal, hex, base32, base64) and three
-tests are made: chi-squared uniformity of the alphabet, a runs test on the two
-halves of the alphabet, and lag-one serial correlation of alphabet positions.
+For each run the alphabet is inferred (decimal, hex, one case of letters, base32,
+base36, base58, letters and digits, base64 with either pair of signs; padding is
+cut off) and three tests are made: chi-squared uniformity of the alphabet, a runs
+test on the two halves of the alphabet, and lag-one serial correlation of
+alphabet positions.
 Fisher's method joins their p-values.  A run the battery calls non-random at
 ``ALPHA`` is never reported.
 
@@ -14,7 +16,7 @@ Short runs of ordinary text also pass such tests, so what passes is held to a
 false-discovery rate.  The null here is natural text: its letters coincide more
 often and switch class less often than random ones, and the evidence against it
 grows with the length.  Benjamini-Hochberg runs over all candidates of the
-corpus within strata of encoding and length; p-values are counted in ``BINS``
+corpus within strata of alphabet and length; p-values are counted in ``BINS``
 bins of a logarithmic scale, and a bin counts with its upper edge, which errs
 on the safe side.  The thresholds are a few hundred numbers, joined in as one
 scalar.  Everything is a DataFrame function.
@@ -34,6 +36,30 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(
 ACCESS, HEX = "AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}"
 #: Runs that the battery looks at.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+_DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_ALL = "+-/" + _DIGITS + "=" + _UPPER + "_" + _LOWER
+#: Alphabets, smallest first: the first whose pattern fits a whole run is the one
+#: it is held to.  A random run without some signs is uniform over the others, so
+#: a smaller alphabet that fits by chance is right too.  The last takes the rest,
+#: which no encoding writes: both pairs of signs, or = before the end.
+ALPHABETS = (
+    ("^[0-9]+$", _DIGITS),
+    ("^(?:[0-9a-f]+|[0-9A-F]+)$", _DIGITS + "abcdef"),
+    ("^(?:[a-z]+|[A-Z]+)$", _LOWER),
+    ("^(?:[a-z2-7]+|[A-Z2-7]+)$", "234567" + _LOWER),
+    ("^(?:[0-9a-v]+|[0-9A-V]+)$", _DIGITS + "abcdefghijklmnopqrstuv"),
+    ("^(?:[0-9a-hjkmnp-tv-z]+|[0-9A-HJKMNP-TV-Z]+)$", _DIGITS + "abcdefghjkmnpqrstvwxyz"),
+    ("^(?:[0-9a-z]+|[0-9A-Z]+)$", _DIGITS + _LOWER),
+    ("^[A-Za-z]{1,63}$", _ALL),  # over letters alone, names in camel case would look uniform
+    ("^[A-Za-z]+$", _UPPER + _LOWER),
+    ("^[1-9A-HJ-NP-Za-km-z]+$", "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"),
+    ("^[0-9A-Za-z]+$", _DIGITS + _UPPER + _LOWER),
+    ("^[0-9A-Za-z+/]+$", "+/" + _DIGITS + _UPPER + _LOWER),
+    ("^[0-9A-Za-z_-]+$", "-" + _DIGITS + _UPPER + "_" + _LOWER),
+    ("", _ALL),
+)
+#: Padding at the end of base32 and base64.
+PADDING = "(?<=[^=])={1,6}$"
 KINDS = ("assign", "access", "hex", "random")
 #: Level of the battery, rate of false discoveries, bins a decade of p.
 ALPHA, RATE, DECADE, BINS = 0.001, 0.01, 8, 160
@@ -80,15 +106,24 @@ def _sum(a: Column) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
 
 
-def battery(token: Column) -> Column:
+def battery(run: Column) -> Column:
     """struct(enc, n, p_random, p_text) of one run of token characters."""
-    size = F.char_length(token)
-    alphabets = (("decimal", "0123456789"), ("hex", "0123456789abcdef"), ("base32", "234567ABCDEFGHIJKLMNOPQRSTUVWXYZ"), ("base64", "+-/0123456789=ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz"))
-    enc = F.when(token.rlike("^[0-9]+$"), 0).when(token.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), 1).when(token.rlike("^[A-Z2-7]+=*$"), 2).otherwise(3)
-    own = F.when(enc == 1, F.lower(token)).otherwise(token)  # upper-case hex reads as lower-case
-    order = F.element_at(F.array(*(F.lit(a) for _, a in alphabets)), enc + 1)
-    k = F.element_at(F.array(*(F.lit(float(len(a))) for _, a in alphabets)), enc + 1)
-    places = F.transform(F.split(own, ""), lambda c: (F.call_function("locate", c, order) - 1).cast("double"))
+    return let(F.regexp_replace(run, PADDING, ""), lambda token: let(_alphabet(token), _tested))
+
+
+def _alphabet(token: Column) -> Column:
+    """struct(own, t, enc, order): a token in one case and as it is, the number of its alphabet, and the signs."""
+    enc = F.coalesce(*(F.when(token.rlike(p), i) for i, (p, _) in enumerate(ALPHABETS)))
+    one_case = [i for i, (_, a) in enumerate(ALPHABETS) if "a" in a and "A" not in a]
+    signs = F.array(*(F.lit(a) for _, a in ALPHABETS))
+    # One case reads as lower-case.
+    return let(enc, lambda i: F.struct(F.when(i.isin(one_case), F.lower(token)).otherwise(token).alias("own"), token.alias("t"), i.alias("enc"), F.element_at(signs, i + 1).alias("order")))
+
+
+def _tested(x: Column) -> Column:
+    token, enc, order = x["t"], x["enc"], x["order"]
+    size, k = F.char_length(token), F.char_length(order).cast("double")
+    places = F.transform(F.split(x["own"], ""), lambda c: (F.call_function("locate", c, order) - 1).cast("double"))
     kinds = F.translate(token, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", "U" * 26 + "l" * 26 + "d" * 10 + "s" * 5)
     switches = F.char_length(F.regexp_replace(kinds, r"(.)(?=(?!\1).)", "$1#")) - size
     first = F.struct(places.alias("p"), size.cast("double").alias("n"), k.alias("k"), enc.alias("enc"), switches.cast("double").alias("w"))
@@ -145,7 +180,7 @@ def _verdict(m: Column) -> Column:
 
 
 def stratum(enc: Column, n: Column) -> Column:
-    """Encoding and length class (powers of two, all over 4096 together)."""
+    """Alphabet and length class (powers of two, all over 4096 together)."""
     return enc * 16 + F.least(F.floor(F.log2(n.cast("double"))), F.lit(12)).cast("int")
 
 
@@ -163,7 +198,7 @@ def candidates(text: Column) -> Column:
 def thresholds(found: DataFrame, rate: float = RATE) -> Column:
     """map<stratum, last bin reported> by Benjamini-Hochberg, as a scalar.
 
-    ``found`` has a column ``c`` of candidates.  At most 4 * 13 strata of ``BINS``
+    ``found`` has a column ``c`` of candidates.  At most 14 * 13 strata of ``BINS``
     bins leave the aggregation.
     """
     one = found.select(F.explode("c").alias("c")).select(stratum(F.col("c.b.enc"), F.col("c.b.n")).alias("st"), _bin(F.col("c.b.p_text")).alias("bin"))

@@ -4,6 +4,8 @@ import random
 import re
 import string
 
+from pyspark.sql import functions as F
+
 from kontora.llm import secret_scan as X
 
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -44,6 +46,29 @@ def test_random_tokens_are_found_and_words_are_not(spark):
     assert not any(hit[len(secrets) :])
 
 
+def test_long_random_tokens_of_every_alphabet_are_found(spark):
+    r = random.Random(5)
+    lower, upper, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    alphabets = {
+        "decimal": digits, "hex": digits + "abcdef", "lower": lower, "upper": upper, "base32": upper + "234567", "base36": digits + lower, "BASE36": digits + upper, "letters": lower + upper,
+        "base58": "".join(c for c in digits + lower + upper if c not in "0OIl"), "alphanumeric": digits + lower + upper, "base64": digits + lower + upper + "+/", "base64url": digits + lower + upper + "-_",
+    }
+    made = [(name, n, "".join(r.choices(a, k=n)) + "=" * pad) for name, a in alphabets.items() for n in (128, 512, 1600, 4000) for pad in ((0, 2) if name in ("base32", "base64", "base64url") else (0,)) for _ in range(8)]
+    df = spark.createDataFrame([(name, n, t) for name, n, t in made], "name string, n int, t string").select("name", "n", X.battery(F.col("t")).alias("b"))
+    share = {(x.name, x.n): x.share for x in df.groupBy("name", "n").agg(F.avg((F.col("b.p_random") >= X.ALPHA).cast("int")).alias("share")).collect()}
+    assert len(share) == 48 and min(share.values()) >= 0.8, share
+    long = [m for m in made if m[1] >= 512 and m[0] != "decimal"]  # ten digits agree more often than text
+    got = scan(spark, [f"see {t} here" for _, _, t in long])
+    missed = [m[:2] for i, m in enumerate(long) if ("random", 4, 4 + len(m[2])) not in got[i]]
+    assert len(missed) <= 0.02 * len(long), missed
+
+
+def test_rules_of_signs_and_repeated_words_are_not_random(spark):
+    plain = ["=" * 40, "-" * 200, "a" + "=" * 30, "ab==" * 20, "the" * 400, "someLongNameOfThing" * 60, "=" * 20 + "Title" + "=" * 20]
+    got = scan(spark, [f"see {x} here" for x in plain])
+    assert not any(s[0] == "random" for spans in got.values() for s in spans)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert X.scan_secrets(df).count() == 0

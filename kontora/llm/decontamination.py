@@ -51,24 +51,37 @@ def shingles(own: Column, width: int) -> Column:
     return F.when(F.size(own) >= width, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
 
 
+def row_key(given: Column, text: Column) -> Column:
+    """A key of a row, never null: rows with the same key have the same id and text."""
+    of = lambda c: F.sha2(F.coalesce(c.cast("string"), F.lit("")).cast("binary"), 256)
+    return F.sha2(F.concat(given.isNull().cast("string"), of(given), of(text)), 256)
+
+
+def doc_key(given: Column, text: Column) -> Column:
+    """The id of a document as text, or what stands for it in a row without one: its text."""
+    nameless = F.concat(F.lit("text "), F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+    return F.when(given.isNull(), nameless).otherwise(F.concat(F.lit("id "), given.cast("string")))
+
+
 def sketches(items: DataFrame, item_col: str, text_col: str, width: int, similarity: float) -> DataFrame:
-    """(item, w, own, need, h): one row per sketched hash of an item.
+    """(item, row, w, own, need, h): one row per sketched hash of an item.
 
-    ``w`` is the shingle width, less than ``width`` only for shorter items;
+    ``row`` is the key of the item's row, ``w`` is the shingle width, less than ``width`` only for shorter items;
     ``own`` are the item's shingles, ``need`` is how many must be found.
     """
-    own = items.select(F.col(f"`{item_col}`").alias("item"), words(F.col(f"`{text_col}`")).alias("words")).filter(F.size("words") > 0)
+    given, text = F.col(f"`{item_col}`"), F.col(f"`{text_col}`")
+    own = items.select(given.alias("item"), row_key(given, text).alias("row"), words(text).alias("words")).filter(F.size("words") > 0)
     own = own.withColumn("w", F.least(F.size("words"), F.lit(width)))
     text = hashes = None
     for k in range(width, 0, -1):
         s, h = shingles(F.col("words"), k), shingle_hashes(F.col("words"), k)
         text = s if text is None else F.when(F.col("w") == k, s).otherwise(text)
         hashes = h if hashes is None else F.when(F.col("w") == k, h).otherwise(hashes)
-    out = own.select("item", "w", text.alias("own"), F.array_sort(F.array_distinct(hashes)).alias("hashes"))
+    out = own.select("item", "row", "w", text.alias("own"), F.array_sort(F.array_distinct(hashes)).alias("hashes"))
     need = F.ceil(F.size("own") * F.lit(similarity) - F.lit(1e-9)).cast("int")
     out = out.withColumn("need", need).withColumn("k", F.size("hashes") - F.col("need") + 1)
     # The hash is the random order: the least hashes are the sketch.
-    return out.select("item", "w", "own", "need", F.explode(F.slice("hashes", F.lit(1), F.col("k"))).alias("h"))
+    return out.select("item", "row", "w", "own", "need", F.explode(F.slice("hashes", F.lit(1), F.col("k"))).alias("h"))
 
 
 def contained(
@@ -82,8 +95,16 @@ def contained(
     that repeat an id are joined: the best containment counts.  Other columns are
     ignored; either table may be empty.
     """
+    best = F.max(F.struct((F.col("found") / F.col("size")).alias("containment"), "found", "size")).alias("best")
+    out = _found(docs, items, id_col, text_col, item_col, item_text_col, width, similarity).groupBy("doc_id", "item").agg(best)
+    return out.select("doc_id", F.col("item").alias("item_id"), "best.found", "best.size", "best.containment")
+
+
+def _found(docs: DataFrame, items: DataFrame, id_col: str, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, doc_key, item, found, size) by row of either table."""
     known = cut(sketches(items, item_col, item_text_col, width, similarity))
-    base = docs.select(F.col(f"`{id_col}`").alias("doc_id"), words(F.col(f"`{text_col}`")).alias("words"))
+    doc, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    base = docs.select(doc.alias("doc_id"), doc_key(doc, text).alias("doc_key"), words(text).alias("words"))
     widths = sorted(r["w"] for r in known.select("w").distinct().collect())  # at most width numbers
     found = [_of_width(base, known.filter(F.col("w") == w).drop("w"), w) for w in widths]
     if not found:
@@ -91,35 +112,37 @@ def contained(
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    out = out.groupBy("doc_id", "item").agg(F.max("found").alias("found"), F.max("size").alias("size"))
-    return out.select("doc_id", F.col("item").alias("item_id"), "found", "size", (F.col("found") / F.col("size")).alias("containment"))
+    return out
 
 
 def _of_width(base: DataFrame, known: DataFrame, width: int) -> DataFrame:
-    """(doc_id, item, found, size) of the items whose shingles have ``width`` words."""
+    """(doc_id, doc_key, item, found, size) of the items whose shingles have ``width`` words."""
     rows = base.withColumn("hits", F.array_distinct(shingle_hashes(F.col("words"), width))).withColumn("n", F.size("hits"))
     if small_enough(known, LITERAL_ROWS):
         # Few sketches: documents without a hit end here, the others keep their words.
         wanted = [r["h"] for r in known.select("h").distinct().collect()]
         held = F.filter("hits", lambda h: h.isin(wanted)) if wanted else F.array().cast("array<bigint>")
-        hit = rows.withColumn("hits", held).filter(F.size("hits") > 0).select("doc_id", "words", "n", F.explode("hits").alias("h"))
+        hit = rows.withColumn("hits", held).filter(F.size("hits") > 0).select("doc_id", "doc_key", "words", "n", F.explode("hits").alias("h"))
         pairs = hit.join(F.broadcast(known), "h").filter(F.col("n") >= F.col("need"))
     else:
         # Many: hashes alone are joined, and words come back for the pairs found.
-        keys = known.select("h", "item", "need")
+        keys = known.select("h", "row", "need").distinct()
         keys = F.broadcast(keys) if small_enough(known, BROADCAST_ROWS) else keys
-        hit = rows.select("doc_id", "n", F.explode("hits").alias("h")).join(keys, "h").filter(F.col("n") >= F.col("need"))
-        found = cut(hit.select("doc_id", "item").distinct())
-        pairs = base.join(found, "doc_id").join(known.select("item", "own", "need").dropDuplicates(["item"]), "item")
+        hit = rows.select("doc_key", "n", F.explode("hits").alias("h")).join(keys, "h").filter(F.col("n") >= F.col("need"))
+        found = cut(hit.select("doc_key", "row").distinct())
+        # Rows of one key are the same id and text, so any of them will do.
+        pairs = base.join(found, "doc_key").join(known.select("row", "item", "own", "need").dropDuplicates(["row"]), "row")
     # Size partitions: an item that needs more shingles than a document has was not tried.
-    tried = pairs.select("doc_id", "item", "need", F.size("own").alias("size"), F.size(F.array_intersect("own", shingles(F.col("words"), width))).alias("found"))
-    return tried.filter(F.col("found") >= F.col("need")).select("doc_id", "item", "found", "size")
+    tried = pairs.select("doc_id", "doc_key", "item", "need", F.size("own").alias("size"), F.size(F.array_intersect("own", shingles(F.col("words"), width))).alias("found"))
+    return tried.filter(F.col("found") >= F.col("need")).select("doc_id", "doc_key", "item", "found", "size")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the documents that contain an item; rows with a null id stay."""
-    gone = contained(docs, items, id_col, **options).select(F.col("doc_id").alias(PRIVATE + "gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col(PRIVATE + "gone"), "left_anti")
+    """``docs`` without the documents that contain an item; of those without an id, the same text goes."""
+    key, text = PRIVATE + "key", F.col(f"`{options.get('text_col', 'text')}`")
+    gone = _found(docs, items, id_col, **options).select(F.col("doc_key").alias(PRIVATE + "gone")).distinct()
+    keyed = docs.withColumn(key, doc_key(F.col(f"`{id_col}`"), text))
+    return keyed.join(gone, F.col(key) == F.col(PRIVATE + "gone"), "left_anti").drop(key)
 
 
 def op6_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

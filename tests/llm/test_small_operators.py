@@ -57,6 +57,30 @@ def test_decontamination_equals_brute_force(spark, monkeypatch):
     assert left == {d for d, _ in docs} - {w[0] for w in want}
 
 
+def test_decontamination_of_repeated_and_null_ids(spark, monkeypatch):
+    r = random.Random(6)
+    text = lambda n: " ".join(f"w{r.randrange(400)}" for _ in range(n))
+    a, b, c, d = text(12), text(25), text(12), text(9)
+    items = [(1, a), (1, b), (1, a), (None, c), (None, d), (2, text(30))]
+    docs = [(10, f"{text(50)} {a}"), (10, f"{b} {text(50)}"), (11, f"{text(9)} {b} {text(9)}"), (12, c), (None, f"{c} {text(40)}"), (None, f"{d} x {a}"), (None, None), (13, d), (14, text(60))]
+    docs += [(15, f"{a} {text(9)}"), (15, f"{' '.join(b.split()[:-2])} {text(9)}")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    it = spark.createDataFrame(items, "item_id long, text string")
+    best = {}
+    for i, j, found, size in contained(docs, items):
+        best[i, j] = max(best.get((i, j), (0, 0, 0)), (found / size, found, size))
+    want = {(*k, *v[1:]) for k, v in best.items()}
+    assert {(10, 1), (11, 1), (12, None), (None, None), (None, 1), (13, None), (15, 1)} == set(best)
+    got = lambda: {(x.doc_id, x.item_id, x.found, x["size"]) for x in D.contained(df, it).collect()}
+    assert got() == want
+    monkeypatch.setattr(D, "LITERAL_ROWS", 1)
+    assert got() == want
+    monkeypatch.setattr(D, "BROADCAST_ROWS", 1)
+    assert got() == want
+    left = [x[:] for x in D.decontaminate(df, it).collect()]
+    assert sorted(left, key=str) == sorted([(None, None), (14, docs[8][1])], key=str)
+
+
 # --- licences
 
 

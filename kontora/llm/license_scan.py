@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from kontora.llm.common import PRIVATE, let
 
 #: Words that mark a line as speaking of a licence.
-CUE = r"(?i)licen[sc]|copyright|spdx|warrant|permission|redistribut"
+CUE = r"(?i)licen[sc]|copyright|spdx|warrant|permission|redistribut|rights\s+reserved|public\s+domain|creative\s+commons|\bcc0\b"
 #: Least cosine, and base name of licence files.
 LEAST, LICENSE_FILE = 0.5, r"(?i)(^|/)(licen[sc]e|copying|notice)[^/]*$"
 #: Short notices of public licences, by SPDX identifier.
@@ -45,6 +45,18 @@ TEMPLATES = (
     ("CC0-1.0", "Released into the public domain under CC0 1.0."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
 )
+#: Titles by their words; those with a version may be followed by more of the block.
+TITLES = (
+    ("GPL-3.0", "gnu general public license version 3"), ("GPL-2.0", "gnu general public license version 2"), ("LGPL-3.0", "gnu lesser general public license version 3"),
+    ("AGPL-3.0", "gnu affero general public license version 3"), ("Apache-2.0", "apache license version 2 0"), ("MPL-2.0", "mozilla public license version 2 0"),
+    ("CC-BY-4.0", "creative commons attribution 4 0 international"), ("CC-BY-SA-4.0", "creative commons attribution sharealike 4 0 international"), ("CC-BY-NC-4.0", "creative commons attribution noncommercial 4 0 international"), ("CC0-1.0", "cc0 1 0 universal"),
+    ("MIT", "mit license"), ("BSD-3-Clause", "bsd 3 clause license"), ("ISC", "isc license"), ("GPL", "gnu general public license"), ("LGPL", "gnu lesser general public license"), ("AGPL", "gnu affero general public license"),
+)
+#: Titles without a version and the reservation count where nothing else is found.
+UNVERSIONED, RESERVED = ("GPL", "LGPL", "AGPL"), "LicenseRef-All-Rights-Reserved"
+RESERVATION = r"(?i)\ball\s+rights\s+reserved\b"
+#: One SPDX identifier, or an expression of them, as it is written.
+SPDX = r"(?i:spdx-license-identifier)\s*:[\x20\t(]*([A-Za-z0-9][A-Za-z0-9.+-]*(?:[\x20\t()]+(?:AND|OR|WITH)[\x20\t()]+[A-Za-z0-9][A-Za-z0-9.+-]*)*)"
 _WORD = re.compile(r"[a-z0-9]+")
 
 
@@ -93,18 +105,43 @@ def block_scores(block: Column) -> Column:
     return let(tokens, scored)
 
 
+def spdx_license(block: Column) -> Column:
+    """The identifier a block declares, under the name of its template if it has one; or null."""
+    names = {n.lower(): n for n, _ in TEMPLATES}
+    names |= {k + end: n for k, n in list(names.items()) if "gpl" in k for end in ("-only", "-or-later", "+")}
+    known = F.create_map(*(F.lit(x) for kv in sorted(names.items()) for x in kv))
+    return let(F.regexp_extract(block, SPDX, 1), lambda x: F.when(x != "", F.coalesce(F.try_element_at(known, F.lower(x)), x)))
+
+
+def title_license(block: Column) -> Column:
+    """The licence whose title a block is or begins with, or null."""
+    words = F.array_join(F.regexp_extract_all(F.lower(block), F.lit("[a-z0-9]+"), F.lit(0)), " ")
+    pattern = lambda t: f"^(?:the )?{t}" + ("(?: |$)" if re.search("[0-9]( |$)", t) and "clause" not in t else "$")
+    return let(words, lambda w: F.coalesce(*(F.when(w.rlike(pattern(t)), F.lit(n)) for n, t in TITLES)))
+
+
 def own_license(text: Column) -> Column:
     """struct<score, license> of the best block of a whole text, or null.
 
-    Blocks are the lines with a cue and the paragraphs with one.
+    Blocks are the lines with a cue and the paragraphs with one.  A declared SPDX
+    identifier or a title is certain (score 1); the rest goes by cosine.
     """
     whole = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(whole, "\n", -1), lambda x: x.rlike(CUE))
     paragraphs = F.filter(F.split(whole, r"\n[\x20\t]*\n", -1), lambda x: x.rlike(CUE))
     names = F.array(*(F.lit(n) for n, _ in TEMPLATES))
-    best = lambda s: F.struct(F.array_max(s).alias("score"), F.element_at(names, F.array_position(s, F.array_max(s)).cast("int")).alias("license"))
-    scores = F.transform(F.array_distinct(F.concat(lines, paragraphs)), lambda b: let(block_scores(b), best))
-    return F.when(whole.rlike(CUE), let(F.array_max(scores), lambda x: F.when(x["score"] >= LEAST, x)))
+
+    def entry(rank, score, license) -> Column:
+        return F.struct(F.lit(rank).alias("rank") if isinstance(rank, int) else rank.alias("rank"), score.alias("score"), license.alias("license"))
+
+    def judged(b: Column) -> Column:
+        near = let(block_scores(b), lambda s: entry(2, F.array_max(s), F.element_at(names, F.array_position(s, F.array_max(s)).cast("int"))))
+        sure = let(F.coalesce(spdx_license(b), title_license(b)), lambda n: F.when(n.isNotNull(), entry(F.when(n.isin(*UNVERSIONED), 1).otherwise(2), F.lit(1.0), n)))
+        reserved = F.when(b.rlike(RESERVATION), entry(0, F.lit(1.0), F.lit(RESERVED)))
+        return F.coalesce(sure, let(near, lambda x: F.when(x["score"] >= LEAST, x)), reserved)
+
+    best = F.array_max(F.transform(F.array_distinct(F.concat(lines, paragraphs)), judged))
+    return F.when(whole.rlike(CUE), let(best, lambda x: F.when(x.isNotNull(), F.struct(x["score"].alias("score"), x["license"].alias("license")))))
 
 
 def directory(path: Column) -> Column:

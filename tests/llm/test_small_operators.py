@@ -96,6 +96,19 @@ def test_licenses(spark):
     assert I.scan_licenses(df.limit(0), F.col("p")).count() == 0
 
 
+def test_every_template_and_licence_line_is_found(spark):
+    gpl = "GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n\nCopyright (C) 2007 Someone"
+    cases = [(n, t) for n, t in I.TEMPLATES] + [(n, t.upper()) for n, t in I.TITLES] + [
+        (I.RESERVED, "All rights reserved."), (I.RESERVED, "Some words.\nCopyright 2020 The Long Name of an Owner Inc. All rights reserved.\nMore words."), ("MIT", "Released under the MIT License.\nAll rights reserved."),
+        ("MIT", "# SPDX-License-Identifier: MIT"), ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0"), ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-or-later */"), ("MIT OR Apache-2.0", "SPDX-License-Identifier: MIT OR Apache-2.0"), ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+        ("GPL", "GNU GENERAL PUBLIC LICENSE"), ("GPL-3.0", gpl), ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+        (None, "in the public domain of ideas many people meet and talk"), (None, "he has a driving license"), (None, "all of the rights"),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "i int, t string").select("i", I.own_license(F.col("t")).alias("x"))
+    got = {r.i: r.x and r.x.license for r in df.collect()}
+    assert [(got[i], t) for i, (_, t) in enumerate(cases)] == cases
+
+
 def test_cosine_equals_direct_computation(spark):
     import math
     from collections import Counter

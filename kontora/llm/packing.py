@@ -17,12 +17,10 @@ half of all pieces share is still dealt over many tasks.
 
 from __future__ import annotations
 
-import re
-import sys
+import json
 import zlib
-from array import array
 from bisect import bisect_right
-from collections import ChainMap, Counter
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,77 +33,65 @@ from pyspark.sql import functions as F
 from kontora.llm.common import cut
 
 CAPACITY, END_ID = 1024, 2
+#: Fixed value: the split pattern of byte-level vocabularies.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Least number of buckets of a length, and rows a bucket may hold beyond it.
 BUCKETS, BUCKET_ROWS = 1024, 1_000_000
-#: Chunks whose ids a worker keeps (twice as many for a while; workers outlive a
-#: stage, and this stays with them), and the longest chunk it keeps.
-CACHE, LONGEST = 400_000, 64
-
 Pattern = tuple[int, ...]
 
 
+def byte_pairs(path: str):
+    """The vocabulary of a byte-level BPE file as a tiktoken encoding, or None.
+
+    Only a file whose tokens are numbered in the order of their merges, with the
+    usual split pattern and no normaliser, has the same ids in both libraries.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        whole = json.load(f)
+    model, split = whole["model"], whole.get("pre_tokenizer") or {}
+    plain = model.get("type", "BPE") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    usual = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+    added = whole.get("added_tokens") or []
+    bare = not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added)
+    if not (plain and usual and bare) or whole.get("normalizer") or whole.get("post_processor"):
+        return None
+    # Bytes that print stand for themselves, the others for characters from 256 on.
+    printed = [b for b in range(256) if 33 <= b < 127 or 161 <= b and b != 173]
+    sign = {chr(b): b for b in printed} | {chr(256 + i): b for i, b in enumerate(sorted({*range(256)} - {*printed}))}
+    vocabulary, merges = model["vocab"], [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    if any(vocabulary.get(c, 256) > 255 for c in sign) or any(vocabulary.get("".join(m)) != 256 + i for i, m in enumerate(merges)):
+        return None
+    extra = {t["content"]: t["id"] for t in added}
+    ranks = {bytes(map(sign.__getitem__, t)): i for t, i in vocabulary.items() if t not in extra}
+    return tiktoken.Encoding("vocabulary", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=extra) if len(ranks) == 256 + len(merges) else None
+
+
 class Encoder:
-    """Token ids as little-endian 32-bit bytes, by chunk of text.
+    """Token ids as little-endian 32-bit bytes: those of ``Tokenizer.from_file(path)``.
 
-    The tokenizer's own pattern always ends a token before a space that a
-    non-space follows, so a text may be cut there; repeated chunks are encoded
-    once.  Chunks that start with white space stay with what precedes them.
+    The same vocabulary is read by a faster library where both agree; texts that
+    its pattern gives up on (a million spaces in a row) go to the tokenizer itself,
+    as do all texts if the file is of another kind.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        #: Parts after a space, and whole chunks; each with an older generation,
-        #: so that frequent ones outlive a full table.
-        self.spaced: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
-        self.whole: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
-
-    def chunks(self, text: str) -> list[str]:
-        """Chunks of a text in which some space comes before white space or the end."""
-        first, *rest = text.split(" ")
-        out = [first]
-        for part in rest:
-            if part and not part[0].isspace():
-                out.append(" " + part)
-            else:
-                out[-1] += " " + part
-        return out
-
-    def look_up(self, kind: str, each: list[list[str]], before: str) -> list[list[bytes]]:
-        """The ids of every chunk of every text; what is new is encoded together."""
-        new, old = getattr(self, kind)
-        if len(new) > CACHE:
-            new, old = {}, new
-            setattr(self, kind, (new, old))
-        got = [list(map(new.get, x)) for x in each]
-        missing = {c for x, ids in zip(each, got, strict=True) if None in ids for c, i in zip(x, ids, strict=True) if i is None}
-        for c in missing.intersection(old):
-            new[c] = old[c]
-        rest, extra = list(missing.difference(old)), {}
-        for at in range(0, len(rest), 8192):
-            part = rest[at : at + 8192]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast([before + c for c in part], add_special_tokens=False), strict=True):
-                (new if len(c) <= LONGEST else extra)[c] = _packed(e.ids)
-        table = ChainMap(new, extra) if extra else new
-        return [[table[c] if i is None else i for c, i in zip(x, ids, strict=True)] if None in ids else ids for x, ids in zip(each, got, strict=True)]
+        self.fast = byte_pairs(path)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [None if _AWKWARD.search(t) else t.split(" ") for t in texts]
-        whole = self.look_up("whole", [self.chunks(t) if p is None else p[:1] for t, p in zip(texts, parts, strict=True)], "")
-        spaced = self.look_up("spaced", [p[1:] if p else [] for p in parts], " ")
-        return [b"".join(w) + b"".join(s) for w, s in zip(whole, spaced, strict=True)]
-
-
-def _packed(ids: list[int]) -> bytes:
-    a = array("I", ids)  # four bytes on every platform Spark runs on
-    if sys.byteorder == "big":
-        a.byteswap()
-    return a.tobytes()
+    def ids(self, text: str) -> np.ndarray:
+        if self.fast:
+            try:
+                return self.fast.encode_to_numpy(text, allowed_special="all")
+            except ValueError:  # the pattern's stack is full
+                pass
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-
-_AWKWARD = re.compile(r" (?:\s|\Z)")
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return [self.ids(t).astype("<u4").tobytes() for t in texts]
 
 
 @lru_cache
@@ -303,8 +289,9 @@ def pack_documents(
     text give one piece of one id.  Documents over ``capacity`` are cut into
     pieces of ``capacity`` ids, of which the first may be shorter.  Sequences are
     filled from offset 0 without gaps.  Repeated rows are packed each.  Extra
-    columns are ignored, an empty table gives no rows.  The tokenizer's file must
-    be at ``tokenizer_path`` on every executor.
+    columns are ignored, an empty table gives no rows.  Texts of any length are
+    encoded whole; the strings of special tokens become those tokens.  The
+    tokenizer's file must be at ``tokenizer_path`` on every executor.
     """
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()

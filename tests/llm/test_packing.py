@@ -2,15 +2,17 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from kontora.llm import packing as P
 
-TEXTS = ["", "a", "Hello world", "two  spaces", " lead", "trail ", "a \nb", "tab\t x", "x  y", "café naïve 12 345!", "<|endoftext|> in text", "a" * 300, "it's we'll  \n\n  end", "x" + " " * 40 + "y", "\n", "  "]
+TEXTS = ["<|endoftext|>", "a <|endoftext|>  <|endoftext|>b<|endoftext|>", "x  <|endoftext|>\n", "", "a", "Hello world", "two  spaces", " lead", "trail ", "a \nb", "tab\t x", "x  y", "café naïve 12 345!", "<|endoftext|> in text", "a" * 300, "it's we'll  \n\n  end", "x" + " " * 40 + "y", "\n", "  "]
 
 
 @pytest.fixture(scope="module")
@@ -18,26 +20,55 @@ def codec():
     return P.Encoder(P.default_tokenizer())
 
 
-def whole(codec, text):
-    return codec.tokenizer.encode(text, add_special_tokens=False).ids
+@lru_cache
+def tokenizer():
+    """The tokenizer as it is in the file."""
+    return Tokenizer.from_file(P.default_tokenizer())
 
 
-def test_chunked_encoding_equals_whole_texts(codec):
-    got = [np.frombuffer(x, "<u4").tolist() for x in codec.encode(TEXTS)]
-    assert got == [whole(codec, t) for t in TEXTS]
+def whole(text):
+    return tokenizer().encode(text, add_special_tokens=False).ids
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(alphabet=" \n\t \x1cab'sZ9.,é中", max_size=30))
-def test_chunked_encoding_random(text):
-    codec = P.encoder(P.default_tokenizer())
-    assert np.frombuffer(codec.encode([text])[0], "<u4").tolist() == whole(codec, text)
+def ids(codec, text):
+    return np.frombuffer(codec.encode([text])[0], "<u4").tolist()
 
 
-def test_small_cache_keeps_results(codec, monkeypatch):
-    monkeypatch.setattr(P, "CACHE", 2)
-    for t in TEXTS * 2:
-        assert np.frombuffer(codec.encode([t])[0], "<u4").tolist() == whole(codec, t)
+def test_ids_equal_the_untouched_tokenizer(codec):
+    assert codec.fast is not None
+    for t in TEXTS:
+        assert ids(codec, t) == whole(t), t[:40]
+    assert ids(codec, "<|endoftext|>") == [50256]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from([*" \n\t \x1cab'sZ9.,é中𝄞\u0301\u200d\u3000", "<|endoftext|>", "<|endof", "text|>", "'ll", "the", " and"]), max_size=30).map("".join))
+def test_ids_of_random_texts(text):
+    assert ids(P.encoder(P.default_tokenizer()), text) == whole(text)
+
+
+def test_ids_of_documents(codec):
+    import pyarrow.parquet as pq
+
+    for t in pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist():
+        assert ids(codec, t or "") == whole(t or "")
+
+
+def test_texts_beyond_the_pattern(codec):
+    for t in (" " * 1_100_000, "\n" * 1_100_000 + "x", "a" * 200_000):
+        assert ids(codec, t) == whole(t)
+
+
+def test_other_kinds_of_files_use_their_tokenizer(tmp_path):
+    import json
+
+    with open(P.default_tokenizer(), encoding="utf-8") as f:
+        other = json.load(f)
+    other["model"]["merges"][5], other["model"]["merges"][6] = other["model"]["merges"][6], other["model"]["merges"][5]
+    (tmp_path / "other.json").write_text(json.dumps(other))
+    codec = P.Encoder(str(tmp_path / "other.json"))
+    assert codec.fast is None
+    assert ids(codec, "the other <|endoftext|>") == Tokenizer.from_file(str(tmp_path / "other.json")).encode("the other <|endoftext|>", add_special_tokens=False).ids
 
 
 def least_bins(sizes, capacity):
@@ -107,7 +138,7 @@ def test_pieces_are_whole_and_gapless(spark, codec):
         if t != "dup":
             parts = sorted(by_doc[i], key=lambda r: r.piece)
             ids = np.frombuffer(b"".join(bytes(r.ids) for r in parts), "<u4").tolist()
-            assert ids == [*(whole(codec, t) if t else []), 2]
+            assert ids == [*(whole(t) if t else []), 2]
             assert [r.start for r in parts] == P.cut_points(len(ids), 1024)
     assert len(by_doc[99]) == 2
     for parts in by_seq.values():

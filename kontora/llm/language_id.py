@@ -6,9 +6,9 @@ by loss: the distance to a codeword sums each bit's logistic loss times how well
 that bit was learned for the language.  The nearest codeword wins; a small
 margin to the second flags the text as ambiguous.
 
-Models are fitted on a bounded sample of labelled rows (``SAMPLE`` documents,
-chosen by a hash of the id) whose trigram counts are made on the executors, so
-the driver sees at most ``SAMPLE`` rows of ``FEATURES`` numbers.
+Models are fitted on a bounded sample: of at most ``SAMPLE // LEAST`` languages,
+the most frequent, ``SAMPLE`` rows in all.  The sample's trigram counts are made
+where the rows are and the model is fitted in one task; the driver gets weights.
 """
 
 from __future__ import annotations
@@ -23,10 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Rows a model is fitted on, at most about; numbers per row; least margin.
-SAMPLE, FEATURES, MARGIN = 2400, 1 << 13, 0.05
+from kontora.llm.common import slices
+
+#: Rows a model is fitted on at most, rows of a language at least (as far as it
+#: has so many), numbers per row, least margin.
+SAMPLE, LEAST, FEATURES, MARGIN = 2400, 20, 1 << 13, 0.05
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_WORD = re.compile(r"[^\W\d_]")
 _PLAIN = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 _STEP = 1 << 20
 
@@ -39,7 +42,8 @@ class Model(NamedTuple):
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text and _LETTER.search(text))
+    """A character of Unicode category L; digits of other kinds, as in x², are none."""
+    return any(m[0].isalpha() for m in _WORD.finditer(text or ""))
 
 
 def features(text: str) -> np.ndarray:
@@ -72,34 +76,32 @@ def codewords(n: int) -> np.ndarray:
     return best[1]
 
 
-def _with_bias(x: np.ndarray) -> np.ndarray:
-    return np.hstack([x, np.ones((len(x), 1), x.dtype)])
-
-
 def fit(x: np.ndarray, languages: list[str], steps: int = 150) -> Model:
-    """Fit on rows of ``features`` and their languages."""
+    """Fit on rows of ``features`` (32-bit) and their languages."""
     names = sorted(set(languages))
     codes = codewords(len(names))
     if len(names) < 2:
-        return Model(names, codes, np.ones((len(names), 1)), np.zeros((FEATURES + 1, 1)))
+        return Model(names, codes, np.ones((len(names), 1)), np.zeros((FEATURES + 1, 1), np.float32))
     own = np.array([names.index(y) for y in languages])
-    target, x = codes[own], _with_bias(x)
+    target = codes[own].astype(np.float32)
     share = 1 / np.bincount(own, minlength=len(names))[own][:, None]
-    share = (share / share.sum()).astype(np.float32)
-    w = np.zeros((x.shape[1], codes.shape[1]), np.float32)
-    held, rate = w, 4.0
+    pull = (target * (share / share.sum())).astype(np.float32)
+    w = np.zeros((FEATURES + 1, codes.shape[1]), np.float32)
+    held, rate, decay = w, np.float32(4.0), np.float32(4e-5)
     for i in range(steps):
-        ahead = w + (w - held) * (i / (i + 3))
-        margin = target * (x @ ahead)
-        held, w = w, ahead - rate * (x.T @ (-target * share / (1 + np.exp(np.clip(margin, -30, 30))))).astype(np.float32) - rate * 1e-5 * ahead
-    right = (np.sign(x @ w) == target).astype(float)
+        ahead = w + (w - held) * np.float32(i / (i + 3))
+        force = pull / (1 + np.exp(np.clip(target * (x @ ahead[:-1] + ahead[-1]), -30, 30)))
+        held, w = w, (1 - decay) * ahead
+        w[:-1] += rate * (x.T @ force)
+        w[-1] += rate * force.sum(axis=0)
+    right = (np.sign(x @ w[:-1] + w[-1]) == target).astype(float)
     rely = np.array([right[own == k].mean(axis=0) for k in range(len(names))]) + 1e-6
-    return Model(names, codes, rely / rely.sum(axis=1, keepdims=True), w.astype(np.float64))
+    return Model(names, codes, rely / rely.sum(axis=1, keepdims=True), w)
 
 
 def decode(model: Model, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Index of the language, its share of exp(-distance), and if it is ambiguous."""
-    f = _with_bias(x) @ model.weights
+    f = (x @ model.weights[:-1] + model.weights[-1]).astype(float)
     losses = np.log1p(np.exp(-np.clip(f[:, None, :] * model.codes, -30, 30)))
     away = (losses * model.reliance).sum(axis=2)
     p = np.exp(-4 * (away - away.min(axis=1, keepdims=True)))
@@ -113,29 +115,60 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % 4 == 2
 
 
+def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (place, y, t) as (place, y, at, x): the numbers that aren't 0, and where."""
+    for batch in slices(batches):
+        place, lang, at, x = [], [], [], []
+        for p, y, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if has_letter(t):
+                own = features(t)
+                some = np.flatnonzero(own)
+                place.append(p)
+                lang.append(y)
+                at.append(some.astype("<u2").tobytes())
+                x.append(own[some].astype("<f2").tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(place, pa.int64()), pa.array(lang, pa.string()), pa.array(at, pa.binary()), pa.array(x, pa.binary())], ["place", "y", "at", "x"])
+
+
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of all rows of (y, at, x), at most ``SAMPLE``."""
+    rows = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+    if rows:
+        x = np.zeros((len(rows), FEATURES), np.float32)
+        for own, (_, at, values) in zip(x, rows, strict=True):
+            own[np.frombuffer(at, "<u2")] = np.frombuffer(values, "<f2")
+        m = fit(x, [r[0] for r in rows])
+        arrays = [pa.array([m.languages], pa.list_(pa.string())), *(pa.array([np.asarray(a, "<f4").tobytes()], pa.binary()) for a in m[1:])]
+        yield pa.RecordBatch.from_arrays(arrays, ["languages", "codes", "reliance", "weights"])
+
+
 def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int = SAMPLE) -> Model:
-    """Fit on a sample of the labelled rows that are not held out."""
-    base = docs.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{lang_col}`").alias("y"), F.col(f"`{text_col}`").alias("t"))
+    """Fit on a sample of the labelled rows that are not held out.
+
+    Rows without a language or a letter teach nothing; a null id is never held
+    out.  Rows are drawn by a hash of id and text, so repeated rows are drawn
+    together; of equal rows some may be cut off at ``sample``.  Texts with
+    several languages count for each.  Whole texts are read.  Without a row to
+    learn from, the model knows no language.
+    """
+    base = docs.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{lang_col}`").cast("string").alias("y"), F.col(f"`{text_col}`").alias("t"))
     base = base.filter(F.col("y").isNotNull() & ~F.coalesce(held_out(F.col("i")), F.lit(False)))
-    counts = {r["y"]: r["n"] for r in base.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = base.groupBy("y").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "y").limit(max(1, sample // LEAST))
+    counts = {r["y"]: r["n"] for r in sizes.collect()}  # at most sample / LEAST rows
     if not counts:
         return fit(np.zeros((0, FEATURES), np.float32), [])
-    each = max(20, sample // len(counts))
-    place = F.pmod(F.xxhash64(F.col("i").cast("string"), F.lit("language")), F.lit(_STEP))
-    rule = F.lit(False)
-    for y, n in counts.items():
-        rule = rule | ((F.col("y") == y) & (place < int(_STEP * min(1.0, each / n))))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [(i, y, features(t)) for i, y, t in zip(*(c.to_pylist() for c in batch.columns), strict=True) if has_letter(t)]
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keep], pa.string()), pa.array([k[1] for k in keep], pa.string()), pa.array([k[2].astype("<f2").tobytes() for k in keep], pa.binary())], ["i", "y", "x"])
-
-    picked = base.filter(rule).select(F.col("i").cast("string"), F.col("y").cast("string"), "t")
-    rows = sorted(picked.mapInArrow(run, "i string, y string, x binary").collect())
-    if not rows:
+    each = sample // len(counts)
+    limits = F.create_map(*(F.lit(x) for y, n in counts.items() for x in (y, int(_STEP * min(1.0, each / n)))))
+    place = F.xxhash64(F.col("i").cast("string"), "t", F.lit("language"))
+    drawn = base.filter(F.pmod(place, F.lit(_STEP)) < F.try_element_at(limits, F.col("y"))).select(place.alias("place"), "y", "t")
+    rows = drawn.mapInArrow(_featured, "place bigint, y string, at binary, x binary").orderBy("place", "y").limit(sample)
+    fitted = rows.select("y", "at", "x").mapInArrow(_fitted, "languages array<string>, codes binary, reliance binary, weights binary").collect()
+    if not fitted:
         return fit(np.zeros((0, FEATURES), np.float32), [])
-    return fit(np.stack([np.frombuffer(r["x"], "<f2") for r in rows]).astype(np.float32), [r["y"] for r in rows])
+    names = list(fitted[0]["languages"])
+    codes, rely, weights = (np.frombuffer(bytes(b), "<f4") for b in fitted[0][1:])
+    bits = len(codes) // len(names)
+    return Model(names, codes.reshape(-1, bits).astype(float), rely.reshape(-1, bits).astype(float), weights.reshape(-1, bits))
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -143,7 +176,9 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     These replace input columns of the same name; other columns stay.  A text
     that is null or has no letter is ``und`` with score 0, as is every text when
-    nothing could be learned.  Whole texts count, of any length.
+    nothing could be learned.  Of codewords at the same distance the language that
+    sorts first is taken, and the text is ambiguous.  Whole texts count, of any
+    length.  Repeated rows are judged each; an empty table gives no rows.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
     made = ("lang_pred", "score", "ambiguous")
@@ -152,16 +187,14 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                texts = batch.column(place).to_pylist()
-                lang, score, doubt = [UNKNOWN] * len(texts), [0.0] * len(texts), [False] * len(texts)
-                some = [i for i, t in enumerate(texts) if has_letter(t)] if m.languages else []
-                if some:
-                    for i, k, s, d in zip(some, *decode(m, np.stack([features(texts[i]) for i in some])), strict=True):
-                        lang[i], score[i], doubt[i] = m.languages[k], float(s), bool(d)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang), pa.array(score, pa.float64()), pa.array(doubt, pa.bool_())], [*batch.schema.names, *made])
+        for batch in slices(batches, 256):
+            texts = batch.column(place).to_pylist()
+            lang, score, doubt = [UNKNOWN] * len(texts), [0.0] * len(texts), [False] * len(texts)
+            some = [i for i, t in enumerate(texts) if has_letter(t)] if m.languages else []
+            if some:
+                for i, k, s, d in zip(some, *decode(m, np.stack([features(texts[i]) for i in some])), strict=True):
+                    lang[i], score[i], doubt[i] = m.languages[k], float(s), bool(d)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang), pa.array(score, pa.float64()), pa.array(doubt, pa.bool_())], [*batch.schema.names, *made])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
     return base.mapInArrow(run, f"{kinds}, lang_pred string, score double, ambiguous boolean")

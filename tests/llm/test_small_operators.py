@@ -149,6 +149,39 @@ def test_language_edges(spark):
     assert {r.lang_pred for r in L.identify(odd.filter("doc_id = 4"), single).collect()} == {"aa"}
 
 
+def test_letters_are_of_category_l(spark):
+    import unicodedata
+
+    for c in range(0x30000):
+        if not 0xD800 <= c < 0xE000:
+            assert L.has_letter(f"1 {chr(c)}_") == unicodedata.category(chr(c)).startswith("L"), hex(c)
+    df = spark.createDataFrame([(i, t, "aa" if i % 2 else "bb") for i, t in enumerate(["oo uu oo uu", "ii ee ii ee"] * 30)], "doc_id long, text string, lang string")
+    model = L.train(df, "doc_id", "text", "lang")
+    odd = spark.createDataFrame([(1, "²"), (2, "½ ① Ⅳ")], "doc_id long, text string")
+    assert {(r.lang_pred, r.score) for r in L.identify(odd, model).collect()} == {("und", 0.0)}
+
+
+def test_the_sample_is_bounded_for_any_number_of_languages(spark):
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("words of "), "id").alias("text"), F.when(F.col("id") % 2 == 0, "many").otherwise(F.concat(F.lit("l"), "id")).alias("lang"))
+    model = L.train(df, "doc_id", "text", "lang", sample=200)
+    assert len(model.languages) <= 10 and "many" in model.languages
+    hot = spark.range(3000).select(F.lit(1).alias("doc_id"), F.lit("one text").alias("text"), F.lit("aa").alias("lang"))
+    assert L.train(hot, "doc_id", "text", "lang").languages in (["aa"], [])
+
+
+def test_decoding_equals_direct_computation():
+    r = np.random.default_rng(8)
+    x = r.random((5, L.FEATURES)).astype(np.float32)
+    m = L.Model(["a", "b", "c"], L.codewords(3), np.full((3, 3), 1 / 3), r.normal(size=(L.FEATURES + 1, 3)).astype(np.float32) / 50)
+    best, score, doubt = L.decode(m, x)
+    for k in range(5):
+        f = [sum(float(v) * float(w) for v, w in zip(x[k], m.weights[:-1, j], strict=True)) + float(m.weights[-1, j]) for j in range(3)]
+        away = [sum(np.log1p(np.exp(-f[j] * c[j])) / 3 for j in range(3)) for c in m.codes]
+        p = [np.exp(-4 * a) for a in away]
+        assert best[k] == int(np.argmin(away)) and abs(score[k] - max(p) / sum(p)) < 1e-3
+        assert doubt[k] == ((sorted(p)[-1] - sorted(p)[-2]) / sum(p) < L.MARGIN)
+
+
 def test_codewords_differ():
     for n in (2, 3, 4, 7, 9, 30):
         c = L.codewords(n)

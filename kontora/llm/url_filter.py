@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kontora.llm.common import PRIVATE, ascii_lower
+from kontora.llm.common import PRIVATE, ascii_lower, cut
 
 #: Blocks of 32 bytes, at most (2 MB); keys of a block in mind.
 MAX_BLOCKS, KEYS = 1 << 16, 16
@@ -76,11 +76,12 @@ def filter_urls(pages: DataFrame, listed: DataFrame, url_col: str = "url", rules
     ``listed`` has a column ``url`` of canonical URLs.  Where a rule fits, the
     longest decides; ``rule`` is null elsewhere and the URL is blocked if it is
     listed.  Null URLs and those without ``://`` have an empty host and path, fit
-    no rule and are allowed.  New columns replace input columns of the same
-    name.  Repeated rows are judged each; an empty list blocks nothing.
+    no rule and are allowed.  URLs of any length are read whole.  New columns
+    replace input columns of the same name.  Repeated rows are judged each; an
+    empty list blocks nothing and empty ``pages`` give no rows.
     """
     made, key, hit = ("host", "path", "rule", "verdict"), PRIVATE + "key", PRIVATE + "hit"
-    listed = listed.select(F.col("url").alias(hit)).filter(F.col(hit).isNotNull()).distinct()
+    listed = cut(listed.select(F.col("url").alias(hit)).filter(F.col(hit).isNotNull()).distinct())  # read three times
     count = listed.count()
     blocks = min(max_blocks, 1 << max(4, (count // KEYS).bit_length()))
     bloom = bloom_blocks(listed, hit, blocks)  # at most max_blocks rows of 40 bytes
@@ -98,8 +99,11 @@ def filter_urls(pages: DataFrame, listed: DataFrame, url_col: str = "url", rules
     for m, w in zip(masks, words, strict=True):
         passes = passes & (m.bitwiseAND(w) != 0)
     tested = tested.withColumn(PRIVATE + "possible", F.when(passes, F.col(key))).select(*rows.columns, PRIVATE + "possible")
-    sure = listed.hint("shuffle_hash")
-    out = tested.join(sure, F.col(PRIVATE + "possible") == F.col(hit), "left")
+    # Rows without a possible hit never move.  Both sides of the join are plain
+    # shuffles, so that adaptive execution can split a URL that many rows have.
+    possible = F.col(PRIVATE + "possible")
+    clear = tested.filter(possible.isNull()).withColumn(hit, F.lit(None).cast("string"))
+    out = clear.unionByName(tested.filter(possible.isNotNull()).join(listed, possible == F.col(hit), "left"))
     final = F.coalesce(F.col("verdict"), F.when(F.col(hit).isNotNull(), "block").otherwise("allow"))
     return out.select(*base.columns, "host", "path", "rule", final.alias("verdict"))
 

@@ -6,11 +6,17 @@ useless for a short item in a long text, so only the item is sketched: under a
 random order of shingles (their hash), an item of n shingles keeps its
 k = n - ceil(similarity * n) + 1 least ones.  A document that contains the item
 misses at most k - 1 of its shingles, hence holds one of the k: the search loses
-no document.  Sizes partition both sides: an item's sketch grows with its size,
-and a document is only held against items whose least containment fits into it.
+no document.
+
+Sizes partition both sides.  Items are in a class by the power of two of the
+shingles a document must have, and so are documents by those they have; a document
+is searched for the sketches of its own and lower classes alone, so a short text is
+never held against long items.
 
 Documents without a sketched shingle are dropped inside their row, without a
-shuffle.  The rest is verified on the shingles themselves.
+shuffle.  Pairs of keys come out of the search; the texts of these documents are
+read again and verified on the shingles themselves.  What is broadcast is sketch
+hashes and keys of fixed size, never shingles.
 """
 
 from __future__ import annotations
@@ -21,9 +27,9 @@ from pyspark.sql import functions as F
 from kontora.llm.common import PRIVATE, cut, let, small_enough
 
 WIDTH, SIMILARITY = 5, 0.8
-#: Sketch rows that may be part of the plan (an in-memory set on every
-#: executor, 16 MB at most); a larger benchmark is joined by shuffle.
-LITERAL_ROWS, BROADCAST_ROWS = 20_000, 200_000
+#: Sketch hashes that may be part of the plan (in-memory sets on every executor),
+#: and rows of about 100 bytes that may be broadcast; beyond that joins shuffle.
+LITERAL_ROWS, BROADCAST_ROWS = 20_000, 100_000
 #: Words are runs of letters and digits in lower case.
 BETWEEN = r"[^\p{L}\p{N}]+"
 
@@ -64,14 +70,15 @@ def doc_key(given: Column, text: Column) -> Column:
 
 
 def sketches(items: DataFrame, item_col: str, text_col: str, width: int, similarity: float) -> DataFrame:
-    """(item, row, w, own, need, h): one row per sketched hash of an item.
+    """(item, row, w, own, need, size_class, sketch): one row per distinct item.
 
-    ``row`` is the key of the item's row, ``w`` is the shingle width, less than ``width`` only for shorter items;
-    ``own`` are the item's shingles, ``need`` is how many must be found.
+    ``row`` is the key of the item's id and text, ``w`` is the shingle width, less
+    than ``width`` only for shorter items; ``own`` are the item's shingles, ``need``
+    is how many must be found, ``sketch`` its least hashes.
     """
     given, text = F.col(f"`{item_col}`"), F.col(f"`{text_col}`")
     own = items.select(given.alias("item"), row_key(given, text).alias("row"), words(text).alias("words")).filter(F.size("words") > 0)
-    own = own.withColumn("w", F.least(F.size("words"), F.lit(width)))
+    own = own.dropDuplicates(["row"]).withColumn("w", F.least(F.size("words"), F.lit(width)))
     text = hashes = None
     for k in range(width, 0, -1):
         s, h = shingles(F.col("words"), k), shingle_hashes(F.col("words"), k)
@@ -81,7 +88,12 @@ def sketches(items: DataFrame, item_col: str, text_col: str, width: int, similar
     need = F.ceil(F.size("own") * F.lit(similarity) - F.lit(1e-9)).cast("int")
     out = out.withColumn("need", need).withColumn("k", F.size("hashes") - F.col("need") + 1)
     # The hash is the random order: the least hashes are the sketch.
-    return out.select("item", "row", "w", "own", "need", F.explode(F.slice("hashes", F.lit(1), F.col("k"))).alias("h"))
+    return out.select("item", "row", "w", "own", "need", size_class(F.col("need")).alias("size_class"), F.slice("hashes", F.lit(1), F.col("k")).alias("sketch"))
+
+
+def size_class(n: Column) -> Column:
+    """The power of two of a number of shingles; 0 for none."""
+    return F.when(n > 0, F.floor(F.log2(n.cast("double")))).otherwise(0).cast("int")
 
 
 def contained(
@@ -92,8 +104,9 @@ def contained(
     ``found`` of the item's ``size`` distinct shingles are in the document.  Items
     of fewer than ``width`` words are one shingle of all their words.  Null and
     empty texts contain nothing and items without words are in nothing.  Rows
-    that repeat an id are joined: the best containment counts.  Other columns are
-    ignored; either table may be empty.
+    that repeat an id are tried each and joined: the best containment counts; null
+    ids are an id of their own.  Texts of any length are searched whole.  Other
+    columns are ignored; either table may be empty.
     """
     best = F.max(F.struct((F.col("found") / F.col("size")).alias("containment"), "found", "size")).alias("best")
     out = _found(docs, items, id_col, text_col, item_col, item_text_col, width, similarity).groupBy("doc_id", "item").agg(best)
@@ -104,41 +117,61 @@ def _found(docs: DataFrame, items: DataFrame, id_col: str, text_col: str = "text
     """(doc_id, doc_key, item, found, size) by row of either table."""
     known = cut(sketches(items, item_col, item_text_col, width, similarity))
     doc, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
-    base = docs.select(doc.alias("doc_id"), doc_key(doc, text).alias("doc_key"), words(text).alias("words"))
-    widths = sorted(r["w"] for r in known.select("w").distinct().collect())  # at most width numbers
-    found = [_of_width(base, known.filter(F.col("w") == w).drop("w"), w) for w in widths]
-    if not found:
-        found = [_of_width(base, known.drop("w"), width)]
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
-
-
-def _of_width(base: DataFrame, known: DataFrame, width: int) -> DataFrame:
-    """(doc_id, doc_key, item, found, size) of the items whose shingles have ``width`` words."""
-    rows = base.withColumn("hits", F.array_distinct(shingle_hashes(F.col("words"), width))).withColumn("n", F.size("hits"))
-    if small_enough(known, LITERAL_ROWS):
-        # Few sketches: documents without a hit end here, the others keep their words.
-        wanted = [r["h"] for r in known.select("h").distinct().collect()]
-        held = F.filter("hits", lambda h: h.isin(wanted)) if wanted else F.array().cast("array<bigint>")
-        hit = rows.withColumn("hits", held).filter(F.size("hits") > 0).select("doc_id", "doc_key", "words", "n", F.explode("hits").alias("h"))
-        pairs = hit.join(F.broadcast(known), "h").filter(F.col("n") >= F.col("need"))
-    else:
-        # Many: hashes alone are joined, and words come back for the pairs found.
-        keys = known.select("h", "row", "need").distinct()
-        keys = F.broadcast(keys) if small_enough(known, BROADCAST_ROWS) else keys
-        hit = rows.select("doc_key", "n", F.explode("hits").alias("h")).join(keys, "h").filter(F.col("n") >= F.col("need"))
-        found = cut(hit.select("doc_key", "row").distinct())
-        # Rows of one key are the same id and text, so any of them will do.
-        pairs = base.join(found, "doc_key").join(known.select("row", "item", "own", "need").dropDuplicates(["row"]), "row")
-    # Size partitions: an item that needs more shingles than a document has was not tried.
-    tried = pairs.select("doc_id", "doc_key", "item", "need", F.size("own").alias("size"), F.size(F.array_intersect("own", shingles(F.col("words"), width))).alias("found"))
+    base = docs.select(doc.alias("doc_id"), doc_key(doc, text).alias("doc_key"), text.alias("text"))
+    widths = sorted(r["w"] for r in known.select("w").distinct().collect()) or [width]  # at most width numbers
+    pairs = None
+    for w in widths:
+        some = _candidates(base, known.filter(F.col("w") == w), w)
+        pairs = some if pairs is None else pairs.unionByName(some)
+    pairs = cut(pairs.distinct())
+    hit = pairs.select("doc_key").distinct()
+    if small_enough(hit, BROADCAST_ROWS):  # else the join alone picks the texts
+        base = base.join(F.broadcast(hit), "doc_key", "left_semi")
+    pairs = base.join(pairs, "doc_key").join(known, "row")
+
+    def read(own: Column) -> Column:
+        out = F.lit(None).cast("array<string>")
+        for w in widths:
+            out = F.when(F.col("w") == w, shingles(own, w)).otherwise(out)
+        return out
+
+    # Made once a row, also where the filter below is pushed under this projection.
+    both = F.size(F.array_intersect("own", let(words(F.col("text")), read)))
+    tried = pairs.select("doc_id", "doc_key", "item", "need", F.size("own").alias("size"), both.alias("found"))
     return tried.filter(F.col("found") >= F.col("need")).select("doc_id", "doc_key", "item", "found", "size")
 
 
+def _those_of(hits: Column, wanted: set[int]) -> Column:
+    return F.filter(hits, lambda h: h.isin(sorted(wanted)))
+
+
+def _candidates(base: DataFrame, known: DataFrame, width: int) -> DataFrame:
+    """(doc_key, row) of documents that hold a sketched shingle of an item of ``width``."""
+    keys = known.select(F.explode("sketch").alias("h"), "row", "need", "size_class")
+    by_class: dict[int, set[int]] = {}
+    if few := small_enough(keys, LITERAL_ROWS):
+        for h, c in keys.select("h", "size_class").distinct().collect():  # at most LITERAL_ROWS pairs of numbers
+            by_class.setdefault(c, set()).add(h)
+
+    def searched(hits: Column) -> Column:
+        held, wanted = (F.array().cast("array<bigint>") if few else hits), set()
+        for c in sorted(by_class):
+            wanted = wanted | by_class[c]
+            held = F.when(size_class(F.size(hits)) >= c, _those_of(hits, wanted)).otherwise(held)
+        return F.struct(F.size(hits).alias("n"), held.alias("hits"))
+
+    found = let(F.array_distinct(shingle_hashes(words(F.col("text")), width)), searched)
+    # The outer form, and a filter above it: a filter below would hash each text twice.
+    hit = base.select("doc_key", found.alias("x")).select("doc_key", "x.n", F.explode_outer("x.hits").alias("h")).filter("h is not null")
+    keys = keys.select("h", "row", "need")
+    keys = F.broadcast(keys) if small_enough(keys, BROADCAST_ROWS) else keys
+    return hit.join(keys, "h").filter(F.col("n") >= F.col("need")).select("doc_key", "row")
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the documents that contain an item; of those without an id, the same text goes."""
+    """``docs`` without the documents that contain an item; rows that share an id go
+    together, of those without an id the rows of equal text.  Nulls, empty texts and
+    tables are as in ``contained``; all columns stay."""
     key, text = PRIVATE + "key", F.col(f"`{options.get('text_col', 'text')}`")
     gone = _found(docs, items, id_col, **options).select(F.col("doc_key").alias(PRIVATE + "gone")).distinct()
     keyed = docs.withColumn(key, doc_key(F.col(f"`{id_col}`"), text))

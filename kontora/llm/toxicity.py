@@ -6,8 +6,8 @@ training those are out-of-fold predictions, so a later model learns from
 probabilities as wrong as it will meet.  The threshold of each category is the
 one with the best F1 out of fold.
 
-Models are fitted on a bounded sample of labelled documents (``SAMPLE`` for each
-combination of labels); word sets are made on the executors.
+Models are fitted in one task on a bounded sample of labelled documents (``SAMPLE``
+for each combination of labels); word sets are made where the texts are.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kontora.llm.common import slices
+
 #: Labelled rows of each combination of labels, words of a model, folds.
 SAMPLE, WORDS, FOLDS = 1200, 2500, 5
 #: Least chi-squared of a word, so that among 100,000 words few pass by chance.
@@ -86,7 +88,7 @@ def select_words(sets: list[list[int]], labels: np.ndarray, most: int, least: in
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     df = np.bincount(index, minlength=len(known)).astype(float)
     gain = np.zeros(len(known))
-    for y in labels.T:
+    for y in labels.T if len(labels) else ():
         rate = y.mean()
         if 0 < rate < 1:
             hits = np.bincount(index, weights=y[row], minlength=len(known))
@@ -104,21 +106,26 @@ def matrix(sets: list[list[int]], words: dict[int, int]) -> np.ndarray:
 
 
 def fit(ids: list[str], sets: list[list[int]], labels: np.ndarray, categories: list[str]) -> Chain:
-    """Fit the chain; folds follow the ids, so equal inputs give equal models."""
-    words = select_words(sets, labels, WORDS)
-    x = matrix(sets, words)
+    """Fit the chain; folds follow the ids, so equal inputs give equal models.
+
+    Nothing of a fold's labels reaches its own predictions: the words of a model
+    are selected without the fold it predicts.
+    """
     fold = np.array([xxhash.xxh3_64_intdigest(i.encode()) % FOLDS for i in ids], int)
+    own_words = [select_words([s for s, f in zip(sets, fold, strict=True) if f != k], labels[fold != k], WORDS) for k in range(FOLDS)]
+    words = select_words(sets, labels, WORDS)
+    x, before = matrix(sets, words), np.zeros((len(sets), 0), np.float32)
     weights, thresholds = [], []
     for k in range(len(categories)):
         y = labels[:, k].astype(np.float32)
         out = np.zeros(len(y), np.float32)
         for f in range(FOLDS):
             if (fold == f).any():
-                own = fold != f
-                out[~own] = apply(logistic(x[own], y[own]), x[~own])
-        weights.append(logistic(x, y))
+                part, rest = np.hstack([matrix(sets, own_words[f]), before]), fold != f
+                out[~rest] = apply(logistic(part[rest], y[rest]), part[~rest])
+        weights.append(logistic(np.hstack([x, before]), y))
         thresholds.append(best_threshold(out, y) if len(y) else 0.5)
-        x = np.hstack([x, out[:, None]])
+        before = np.hstack([before, out[:, None]])
     return Chain(categories, words, weights, thresholds)
 
 
@@ -128,31 +135,57 @@ def predict(chain: Chain, x: np.ndarray) -> np.ndarray:
     return x[:, len(chain.words) :]
 
 
+def _fitted(categories: list[str]):
+    names = [f"y{k}" for k in range(len(categories))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        y = np.array([r[2:] for r in rows], np.float32).reshape(len(rows), len(names))
+        c = fit([r[0] for r in rows], [r[1] for r in rows], y, categories)
+        words = sorted(c.words, key=c.words.get)
+        arrays = [pa.array([words], pa.list_(pa.int64())), pa.array([[w.astype("<f4").tobytes() for w in c.weights]], pa.list_(pa.binary())), pa.array([c.thresholds], pa.list_(pa.float64()))]
+        yield pa.RecordBatch.from_arrays(arrays, ["words", "weights", "thresholds"])
+
+    return run
+
+
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Chain:
-    """Fit on labelled documents.  ``categories`` maps names to SQL over ``labels``."""
+    """Fit on labelled documents.  ``categories`` maps names to SQL over ``labels``.
+
+    Labels that repeat an id are one, with the highest value of each category;
+    those with a null and those of ids without a document teach nothing.  Rows
+    that repeat an id in ``docs`` are a text each.  Null and empty texts have no
+    words.  Rows are drawn by a hash of the id, at most ``sample`` for each
+    combination of labels; of rows beyond that those of least hash count.  The
+    models are fitted in one task; the driver gets weights.  With nothing to
+    learn from they are 0.
+    """
     own = [F.expr(sql).cast("int").alias(f"y{k}") for k, sql in enumerate(categories.values())]
     names = [f"y{k}" for k in range(len(categories))]
-    marked = labels.select(F.col(f"`{id_col}`").alias("i"), *own).dropna()
+    marked = labels.select(F.col(f"`{id_col}`").alias("i"), *own).dropna().groupBy("i").agg(*(F.max(c).alias(c) for c in names))
     counts = marked.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).collect()  # combinations of labels
-    place = F.pmod(F.xxhash64(F.col("i").cast("string"), F.lit("toxicity")), F.lit(_STEP))
+    place = F.xxhash64(F.col("i").cast("string"), F.lit("toxicity"))
     rule = F.lit(False)
     for r in counts:
         same = F.lit(True)
         for c in names:
             same = same & (F.col(c) == r[c])
-        rule = rule | (same & (place < int(_STEP * min(1.0, sample / r["n"]))))
+        rule = rule | (same & (F.pmod(place, F.lit(_STEP)) < int(_STEP * min(1.0, sample / r["n"]))))
     picked = marked.filter(rule)  # about sample rows a combination: small enough to broadcast
     texts = docs.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = [word_hashes(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.int64())), *batch.columns[2:]], ["i", "w", *names])
+        for batch in slices(batches):
+            words = [word_hashes(t) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(words, pa.list_(pa.int64())), *batch.columns[3:]], ["place", "i", "w", *names])
 
-    joined = texts.join(F.broadcast(picked), "i").select(F.col("i").cast("string"), "t", *names)
-    rows = sorted(joined.mapInArrow(run, "i string, w array<bigint>, " + ", ".join(f"{c} int" for c in names)).collect())
-    y = np.array([[r[c] for c in names] for r in rows], np.float32).reshape(len(rows), len(names))
-    return fit([r["i"] for r in rows], [list(r["w"]) for r in rows], y, list(categories))
+    joined = texts.join(F.broadcast(picked), "i").select(place.alias("place"), F.col("i").cast("string"), "t", *names)
+    rows = joined.mapInArrow(run, "place bigint, i string, w array<bigint>, " + ", ".join(f"{c} int" for c in names)).orderBy("place").limit(sample * max(1, len(counts)))
+    found = rows.drop("place").mapInArrow(_fitted(list(categories)), "words array<bigint>, weights array<binary>, thresholds array<double>").collect()
+    if not found:
+        return fit([], [], np.zeros((0, len(names)), np.float32), list(categories))
+    words, weights, thresholds = found[0]
+    return Chain(list(categories), {h: k for k, h in enumerate(words)}, [np.frombuffer(bytes(w), "<f4") for w in weights], list(thresholds))
 
 
 def classify(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
@@ -161,7 +194,8 @@ def classify(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame
     These replace input columns of the same name; other columns stay.  Null and
     empty texts, and others without a word the models know, get the models' bias
     alone and are never flagged; with nothing to learn from that is every text.
-    Whole texts count.
+    Whole texts count, of any length.  Repeated rows are judged each; an empty table
+    gives no rows.
     """
     held = docs.sparkSession.sparkContext.broadcast(chain)
     names = chain.categories
@@ -171,13 +205,11 @@ def classify(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = held.value
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                x = matrix([word_hashes(t) for t in batch.column(place).to_pylist()], c.words)
-                p, known = predict(c, x), x.any(axis=1)
-                flags = [pa.array((p[:, k] > t) & known) for k, t in enumerate(c.thresholds)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(p[:, k].astype(float)) for k in range(len(names))), *flags], [*batch.schema.names, *made])
+        for batch in slices(batches):
+            x = matrix([word_hashes(t) for t in batch.column(place).to_pylist()], c.words)
+            p, known = predict(c, x), x.any(axis=1)
+            flags = [pa.array((p[:, k] > t) & known) for k, t in enumerate(c.thresholds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(p[:, k].astype(float)) for k in range(len(names))), *flags], [*batch.schema.names, *made])
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields]
     return base.mapInArrow(run, ", ".join([*kinds, *(f"`p_{c}` double" for c in names), *(f"`{c}` boolean" for c in names)]))

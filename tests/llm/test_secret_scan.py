@@ -69,6 +69,22 @@ def test_rules_of_signs_and_repeated_words_are_not_random(spark):
     assert not any(s[0] == "random" for spans in got.values() for s in spans)
 
 
+def test_rate_of_false_discoveries(spark):
+    """Among planted random tokens and many more runs of ordinary text."""
+    r = random.Random(9)
+    words = "account address balance between certain company control customer delivery document during every example following general government however important information journal language machine market morning natural number office original payment people picture process product question quickly record report school science second service simple society special station street student system thought together travel under various village weather winter without working yesterday".split()
+    shape = [
+        lambda: "".join(r.choices(words, k=r.randint(4, 9))), lambda: "".join(w.title() for w in r.choices(words, k=r.randint(3, 8))), lambda: "_".join(r.choices(words, k=r.randint(3, 8))),
+        lambda: "/".join([*r.choices(words, k=r.randint(3, 7)), str(r.randrange(3000))]), lambda: "-".join(w.upper() for w in r.choices(words, k=r.randint(3, 6))), lambda: "".join(r.choices(words, k=4)) + str(2000 + r.randrange(30)),
+    ]
+    plain = [t for t in (r.choice(shape)() for _ in range(6000)) if len(t) >= 20]
+    secrets = ["".join(r.choices(string.ascii_letters + string.digits, k=r.choice([24, 32, 40, 64]))) for _ in range(300)]
+    got = scan(spark, [f"see {t} here" for t in secrets + plain])
+    hit = [any(s[0] == "random" for s in got[i]) for i in range(len(got))]
+    true, false = sum(hit[:300]), sum(hit[300:])
+    assert true >= 285 and false <= 0.05 * true, (true, false)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert X.scan_secrets(df).count() == 0

@@ -8,9 +8,9 @@ is never missed.  The second pass lets only lines in ``twice`` leave their task:
 their 128-bit digests are counted exactly, which removes the filter's false
 positives and chooses the occurrence that stays.
 
-The filters have a fixed number of bits (a parameter), so what the driver
-broadcasts doesn't grow with the data.  Too few bits for a corpus only mean more
-suspects to count; the result never changes.
+The filters are sized by the bytes of text, up to ``MAX_BITS``, which bounds what
+the driver broadcasts (32 MB) and what a task holds (twice that).  Too few bits for
+a corpus only mean more suspects to count; the result never changes.
 """
 
 from __future__ import annotations
@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from kontora.llm.common import PRIVATE, SPACE_BYTES, cut, extended, slices
 
-#: Bits of each filter, positions set for a hash, bytes of a chunk of a filter.
-FILTER_BITS, POSITIONS, CHUNK = 1 << 25, 3, 4096
+#: Bits of each filter at least and at most, bytes of text a bit, positions set
+#: for a hash, bytes of a chunk of a filter.
+MIN_BITS, MAX_BITS, TEXT_A_BIT, POSITIONS, CHUNK = 1 << 20, 1 << 28, 16, 3, 4096
 
 
 def key_of(line: bytes, min_chars: int) -> bytes | None:
@@ -51,22 +52,29 @@ def _positions(hashes: np.ndarray, bits: int) -> np.ndarray:
     return np.stack([(low + np.uint64(i) * high) % np.uint64(bits) for i in range(POSITIONS)], axis=1).astype(np.int64)
 
 
+def _places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a packed filter, and the bit of each."""
+    at = _positions(hashes, bits)
+    return at >> 3, (128 >> (at & 7)).astype(np.uint8)
+
+
 def _hashes(keys: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(k) for k in keys), np.uint64, len(keys))
 
 
 def _build(min_chars: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = np.zeros(bits, bool), np.zeros(bits, bool)
+        once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
         for batch in slices(batches):
             keys: list[bytes] = []
             for text in batch.column(0).to_pylist():
                 keys += keys_of(text, min_chars)
             found, counts = np.unique(_hashes(keys), return_counts=True)
-            at = _positions(found, bits)
-            twice[at[once[at].all(axis=1) | (counts > 1)]] = True
-            once[at] = True
-        a, b = (np.packbits(x).reshape(-1, CHUNK) for x in (once, twice))
+            at, mask = _places(found, bits)
+            again = ((once[at] & mask) > 0).all(axis=1) | (counts > 1)
+            np.bitwise_or.at(twice, at[again], mask[again])
+            np.bitwise_or.at(once, at, mask)
+        a, b = (x.reshape(-1, CHUNK) for x in (once, twice))
         for i in range(0, len(a), 256):
             full = i + np.flatnonzero(a[i : i + 256].any(axis=1))
             if len(full):
@@ -107,12 +115,18 @@ def twice_filter(docs: DataFrame, text_col: str, min_chars: int, bits: int) -> b
 
 
 def _suspected(keys: list[bytes], packed: np.ndarray, bits: int) -> np.ndarray:
-    at = _positions(_hashes(keys), bits)
-    return (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).all(axis=1)
+    at, mask = _places(_hashes(keys), bits)
+    return ((packed[at] & mask) > 0).all(axis=1)
+
+
+def filter_bits_for(docs: DataFrame, text_col: str) -> int:
+    """A power of two that follows the bytes of text."""
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
+    return min(MAX_BITS, max(MIN_BITS, 1 << (size // TEXT_A_BIT).bit_length()))
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5, filter_bits: int = FILTER_BITS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5, filter_bits: int | None = None
 ) -> DataFrame:
     """Drop lines that many documents share, but for the largest id with them.
 
@@ -124,9 +138,12 @@ def dedup_lines(
     by a newline, and ``n_lines``, ``n_dropped`` (these replace input columns of
     the same name).  Null or empty text is one empty line and comes back empty.
     Each row counts as a document; rows that repeat an id count each, and share
-    their decisions.  A null id never is the largest.  An empty table gives none.
+    their decisions.  A null id never is the largest.  Whole texts are read, of any
+    length.  ``filter_bits`` is a power of two from 2**15 on; left out, it follows
+    the table.  An empty table gives none.
     """
     spark, inner = docs.sparkSession, PRIVATE
+    filter_bits = filter_bits or filter_bits_for(docs, text_col)
     packed = spark.sparkContext.broadcast(twice_filter(docs, text_col, min_chars, filter_bits))
     key_id, key_text, key_drop = inner + "id", inner + "text", inner + "drop"
 
@@ -203,14 +220,15 @@ def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
 
 ORACLE = r"""
 WITH lines AS (
-  SELECT doc_id, i, line, translate(trim(line, E'\x20\x09\x0A\x0B\x0C\x0D'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
-  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)
+  SELECT r, doc_id, i, line, translate(trim(line, E'\x20\x09\x0A\x0B\x0C\x0D'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT r, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+    FROM (SELECT *, row_number() OVER () AS r FROM documents))
 ), repeated AS (
-  SELECT k, max(doc_id) AS keep FROM lines WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5
+  SELECT k, max(doc_id) AS keep FROM lines WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT r) >= 5
 ), judged AS (
-  SELECT l.doc_id, l.i, l.line, r.k IS NOT NULL AND l.doc_id <> r.keep AS gone FROM lines l LEFT JOIN repeated r ON l.k = r.k
+  SELECT l.r, l.doc_id, l.i, l.line, x.k IS NOT NULL AND l.doc_id IS DISTINCT FROM x.keep AS gone FROM lines l LEFT JOIN repeated x ON l.k = x.k
 )
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
-FROM judged GROUP BY doc_id
+FROM judged GROUP BY r, doc_id
 """

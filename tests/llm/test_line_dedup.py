@@ -35,7 +35,12 @@ ROWS = [
 ]
 
 
-@pytest.mark.parametrize("bits", [1 << 25, 1 << 15])
+def test_filters_follow_the_text(spark):
+    text = spark.createDataFrame([("x" * 100_000_000,)], "text string")
+    assert L.filter_bits_for(text, "text") == 1 << 23 and L.filter_bits_for(text.limit(0), "text") == L.MIN_BITS
+
+
+@pytest.mark.parametrize("bits", [None, 1 << 25, 1 << 15])
 def test_equals_brute_force(spark, bits):
     """Also with filters so small that nearly every line is a suspect."""
     assert found(spark, ROWS, filter_bits=bits) == brute(ROWS)

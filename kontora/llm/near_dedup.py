@@ -269,8 +269,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links), ``kept`` (the id is the component's). Texts without shingles link with
     nothing.  Ids must be whole numbers; rows that repeat an id are one document
     each with the same component, a null id stays alone with a null component.
-    Rows with equal sets are linked through their least id.  Extra columns are
-    ignored.  An empty table gives no rows.
+    Rows with equal sets are linked through their least id.  Whole texts count, of
+    any length.  Extra columns are ignored.  An empty table gives no rows.
     """
     base = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
     known = cut(base.mapInArrow(_describe(width), "id bigint, n bigint, own binary, coords array<bigint>, sketch binary"))
@@ -334,3 +334,21 @@ def _confirmed(base: DataFrame, candidates: DataFrame, width: int, percent: int,
 def op8_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return near_duplicates(docs, width=3, percent=85)
+
+
+#: Exact similarities of all pairs that share a shingle, and what is reachable over links.
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' '))) END AS s FROM w
+), grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, e.b FROM reached r JOIN edges e ON r.c = e.a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, m.c AS component_id, s.doc_id = m.c AS kept
+FROM sets s JOIN (SELECT doc_id, min(c) AS c FROM reached GROUP BY doc_id) m ON s.doc_id = m.doc_id
+"""

@@ -45,4 +45,4 @@ def test_all_stages_take_empty_tables(spark):
 
 def test_registry_is_complete():
     assert [int(q[2:].split("_")[0]) for q in registry.queries()] == list(range(1, 11))
-    assert set(registry.oracle_sql()) == {"op2_line_dedup", "op6_benchmark_decontamination", "op10_url_filters"}
+    assert set(registry.oracle_sql()) == {"op2_line_dedup", "op6_benchmark_decontamination", "op8_minhash_near_dedup", "op10_url_filters"}

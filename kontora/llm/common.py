@@ -8,6 +8,7 @@ clash with columns of the caller.
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -26,16 +27,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; a session on one machine that names
+    none gets a temporary folder, on a cluster that is an error."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="kontora-")
 
-    The folder is the session's ``spark.checkpoint.dir``; only a session that
-    names none (tests on one machine) gets a temporary one.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kontora-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

@@ -305,7 +305,8 @@ def pack_documents(
     dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
     sizes = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = W.partitionBy("length").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    starts = sizes.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("from"))
+    # Cut, or the join would deal the pieces by length alone, as this window does.
+    starts = cut(sizes.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("from")))
     own = W.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")
     ranked = dealt.withColumn("at", F.row_number().over(own)).join(starts, ["length", "bucket"])
     ranked = ranked.withColumn("rank", F.col("from") + F.col("at") - 1).select(*pieces.columns, "rank")

@@ -109,6 +109,82 @@ def test_every_template_and_licence_line_is_found(spark):
     assert [(got[i], t) for i, (_, t) in enumerate(cases)] == cases
 
 
+def test_near_neighbours_and_whole_files(spark):
+    mit = "Copyright (c) 2020 Jane Doe\n\n" + I.MIT_GRANT + "\n\n" + I.MIT_WARRANTY
+    cases = [
+        ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."), ("CC-BY-4.0", "Licensed under CC BY 4.0."), ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."), ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."), ("CC-BY-NC-ND-4.0", "licensed under cc by-nc-nd 4.0"),
+        ("MIT", mit), ("BSD-2-Clause", "Copyright 2019 X\n\n" + I.BSD_GRANT + "\n\n" + I.BSD_WARRANTY), ("BSD-3-Clause", I.BSD_GRANT + I.BSD_NAMES + "\n\n" + I.BSD_WARRANTY), ("GPL-2.0", "This program is licensed under the GNU General Public License, version 2."),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "i int, t string").select("i", I.own_license(F.col("t")).alias("x"))
+    got = {r.i: r.x and r.x.license for r in df.collect()}
+    assert [(got[i], t[:30]) for i, (_, t) in enumerate(cases)] == [(n, t[:30]) for n, t in cases]
+
+
+def test_inheritance_equals_brute_force(spark):
+    """Random trees: the nearest directory upwards with a licence file."""
+    import posixpath
+
+    r = random.Random(7)
+    lines = [("MIT", "Released under the MIT License."), ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"), ("ISC", "isc license")]
+    rows = []
+    for i in range(400):
+        place = "/".join(r.choices("abcdef", k=r.randrange(1, 5)))
+        kind, text = r.choice(lines) if r.random() < 0.15 else (None, "words")
+        rows.append((i, posixpath.join(place, r.choice(["LICENSE", "COPYING.txt"]) if kind and r.random() < 0.5 else f"f{i}"), text, kind))
+    files = {}
+    for _, path, _, kind in rows:
+        if kind and posixpath.basename(path).startswith(("LICENSE", "COPYING")):
+            files.setdefault(posixpath.dirname(path), []).append(kind)
+    want = {}
+    for i, path, _, kind in rows:
+        at, found = posixpath.dirname(path), None
+        while found is None:
+            found = (min(files[at]), "inherited", at) if at in files else (None, "none", None) if not at else None
+            at = posixpath.dirname(at)
+        want[i] = (kind, "own", None) if kind else found
+    df = spark.createDataFrame(rows, "i int, p string, text string, k string")
+    assert {x.i: (x.license, x.origin, x.license_dir) for x in I.scan_licenses(df, F.col("p")).collect()} == want
+    assert {w[1] for w in want.values()} == {"own", "inherited", "none"}
+
+
+def test_documents_equal_direct_computation(spark):
+    """Every text's own licence, recomputed block by block."""
+    import math
+    import re
+    from collections import Counter
+
+    def cosine(block):
+        tf = Counter(I._WORD.findall(block.lower()))
+        v = {w: n * I.IDF.get(w, I.UNSEEN) for w, n in tf.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return [sum(x * m.get(w, 0) for w, x in v.items()) / norm if norm else 0 for m in I.VECTORS]
+
+    rows = [r for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect() if re.search(I.CUE, r.text or "")]
+    df = spark.createDataFrame([(r.doc_id, r.text) for r in rows], "doc_id long, t string")
+    got = {r.doc_id: r.x for r in df.select("doc_id", I.own_license(F.col("t")).alias("x")).collect()}
+    for r in rows:
+        blocks = {x for x in [*r.text.split("\n"), *re.split(r"\n[\x20\t]*\n", r.text), r.text] if re.search(I.CUE, x)}
+        best = max((max(cosine(b)) for b in blocks), default=0)
+        x = got[r.doc_id]
+        if x is None:
+            assert best < I.LEAST and "rights reserved" not in r.text.lower()
+        elif x.score < 1:
+            assert abs(x.score - best) < 1e-9 and I.TEMPLATES[int(np.argmax(max((cosine(b) for b in blocks), key=max)))][0] == x.license
+
+
+def test_long_blocks_take_steps_in_proportion(spark):
+    import time
+
+    def took(n):
+        df = spark.createDataFrame([("license " + " ".join(f"w{i}" for i in range(n)),)], "t string").select(I.own_license(F.col("t")).alias("x"))
+        began = time.perf_counter()
+        df.collect()
+        return time.perf_counter() - began
+
+    took(10)
+    assert took(64_000) < 16 * took(8_000) + 2
+
+
 def test_cosine_equals_direct_computation(spark):
     import math
     from collections import Counter
@@ -209,6 +285,28 @@ def test_chain_learns_and_generalises(spark):
     assert {x.toxic for x in T.classify(odd, blank).collect()} == {False}
 
 
+def test_chain_equals_direct_computation():
+    r = np.random.default_rng(6)
+    c = T.Chain(["a", "b"], {5: 0, 7: 1, 9: 2}, [np.array([1.0, -2.0, 0.5, 0.1]), np.array([0.3, 0.2, -1.0, 4.0, -2.0])], [0.5, 0.5])
+    x = r.integers(0, 2, (8, 3)).astype(float)
+    p = T.predict(c, x)
+    for row, (p0, p1) in zip(x, p, strict=True):
+        first = 1 / (1 + np.exp(-(row @ [1.0, -2.0, 0.5] + 0.1)))
+        assert abs(p0 - first) < 1e-9 and abs(p1 - 1 / (1 + np.exp(-(row @ [0.3, 0.2, -1.0] + 4.0 * first - 2.0)))) < 1e-9
+
+
+def test_toxicity_of_held_out_documents(spark):
+    """Trained without every fourth labelled document, judged on those."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 1
+    chain = T.train(docs, labels.filter(~out), T.CATEGORIES)
+    held = T.classify(docs.join(labels.filter(out).select("doc_id", F.col("toxic").alias("y")), "doc_id"), chain).select("y", "toxic").collect()
+    hit, toxic, flagged = sum(r.y == 1 and r.toxic for r in held), sum(r.y == 1 for r in held), sum(r.toxic for r in held)
+    print("held out:", len(held), "toxic", toxic, "found", hit, "flagged", flagged)
+    assert toxic > 50 and hit >= 0.85 * toxic and hit >= 0.9 * flagged
+
+
 # --- URLs
 
 URLS = [None, "", "no scheme", "http://A.Example.NET/en/x", "http://example.net", "http://example.net/", "x://b.example.com/de/?q", "https://www.lists.org/page/?utm_source=1&a=2", "http://lists.org:80/page?a=2#f", "http://lists.org/fr/1", "http://lists.org/other", "a://b://c/d", "http://h.org/é", "http://h.org/p\nq?x"]
@@ -230,6 +328,12 @@ def test_urls(spark):
     assert {r.verdict for r in U.filter_urls(df.filter("page_id = 7"), listed.limit(0)).collect()} == {"allow"}
 
 
+def test_one_url_may_have_most_rows(spark):
+    pages = spark.range(4000).select("id", F.when(F.col("id") % 3 == 0, "http://hot.example/x").when(F.col("id") % 3 == 1, F.concat(F.lit("http://u"), "id")).alias("url"))
+    out = U.filter_urls(pages, U.mass_posted(pages))
+    assert out.groupBy("verdict").count().orderBy("verdict").collect() == [("allow", 2666), ("block", 1334)]
+
+
 def test_bloom_has_no_false_negatives_and_few_hits(spark):
     keys = spark.range(3000).select(F.concat(F.lit("u"), "id").alias("url"))
     pages = spark.range(6000).select("id", F.concat(F.lit("http://u"), "id").alias("url"))

@@ -39,11 +39,13 @@ PROFILE = Stage("profile", S.PROFILE_FIELDS, {"profile_error": _keep_new})
 def settle(targets: DataFrame, verdicts: DataFrame, stage: Stage, now: Column, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     """``targets`` with ``verdicts`` (domain, fields, inconclusive) written in.
 
-    Only store rows match, since domains are unique among those alone.  A null
-    status of a verdict leaves the status.  One left join on the domain.
+    Only store rows can match, since domains are unique among those alone; the
+    others, of which many share a domain, never enter the join.  A null status of a
+    verdict leaves the status.  One left join on the domain.
     """
     attempts, stamp = f"{stage.name}_attempts", f"{stage.name}_checked_at"
-    joined = targets.alias("t").join(verdicts.alias("v"), (F.col("t.domain") == F.col("v.domain")) & (F.col("t.is_freemail") == 0), "left")
+    store = F.coalesce(F.col("is_freemail") == 0, F.lit(False))
+    joined = targets.filter(store).alias("t").join(verdicts.alias("v"), F.col("t.domain") == F.col("v.domain"), "left")
     hit, open_ = F.col("v.domain").isNotNull(), F.coalesce(F.col("v.inconclusive"), F.lit(False))
     last = F.col(f"t.{attempts}") + 1 >= max_attempts
     columns = []
@@ -61,4 +63,4 @@ def settle(targets: DataFrame, verdicts: DataFrame, stage: Stage, now: Column, m
         else:
             value = old
         columns.append(value.cast(targets.schema[c].dataType).alias(c))
-    return joined.select(*columns)
+    return joined.select(*columns).unionByName(targets.filter(~store))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -12,6 +15,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back, so that plans which read it
+    twice make it once.  The folder is the session's ``spark.checkpoint.dir``; only a
+    session on one machine may do without."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="kontora-"))
+    return df.checkpoint(eager=True)
+
+
 class Snapshots:
     """A table as numbered immutable versions; the newest complete one is current.
 

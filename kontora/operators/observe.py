@@ -98,12 +98,11 @@ def profile_verdict(visits: DataFrame) -> DataFrame:
         F.when(reason.startswith("robots_unavailable"), "robots_unavailable").when(reason.isNotNull(), reason)
         .when(F.col("status_code").isNull(), F.col("error")).when(F.col("status_code") != 200, F.concat(F.lit("http_"), F.col("status_code").cast("string")))
     )
-    counts = ("image_count", "images_no_alt", "images_lazy", "images_srcset", "images_offsite", "images_modern")
     out = rows.select(
         "domain",
         F.col("_in.url").alias("linkedin_url"),
         F.col("_in.kind").alias("linkedin_kind"),
-        *(F.col(f"_img.{c}").alias(c) for c in counts),
+        *(F.col(f"_img.counts.{c}").alias(c) for c in P.COUNTS),
         F.when(home, P.has_og_image(F.col("_home"))).alias("has_og_image"),
         F.when(home, P.has_description(F.col("_home"))).alias("has_meta_desc"),
         F.col("_img.sample_image_url").alias("sample_image_url"),

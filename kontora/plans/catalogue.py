@@ -128,6 +128,13 @@ def page_lang(spark, d):
     return table(spark, d, "pages").select("page_id", P.lang(F.col("html")).alias("lang"))
 
 
+@query("SELECT doc_id, text FROM documents WHERE text IS NOT NULL")
+def decode_body(spark, d):
+    """Texts as bytes, with bytes before and after that are no UTF-8."""
+    body = F.concat(F.unhex(F.lit("FF80")), F.col("text").cast("binary"), F.unhex(F.lit("C3")))
+    return table(spark, d, "documents").filter("text is not null").select("doc_id", P.decode_body(body).alias("text"))
+
+
 @query("SELECT k, page_title FROM signals")
 def page_title(spark, d):
     return X.pages(spark, d).select("k", P.title(F.col("html")).alias("page_title"))
@@ -171,19 +178,20 @@ def legal_url(spark, d):
   len(list_filter(imgs, lambda t: contains(t, '.webp"')))::INT AS images_modern, CASE WHEN len(imgs) > 0 THEN base_url || 'p/a.jpg' END AS sample_image_url FROM signals"""
 )
 def image_audit(spark, d):
-    return X.pages(spark, d).select("k", P.audit_images(F.col("html"), F.col("base_url")).alias("x")).select("k", "x.*")
+    return X.pages(spark, d).select("k", P.audit_images(F.col("html"), F.col("base_url")).alias("x")).select("k", *(f"x.counts.{c}" for c in P.COUNTS), "x.sample_image_url")
 
 
-@query()
+@query("SELECT k, CASE WHEN k % 16 = 0 THEN NULL WHEN k % 8 = 0 THEN 'Jörg Müller' END AS owner_name FROM html")
 def owner(spark, d):
-    """Unicode names and procedural filtering: rows only."""
     return X.pages(spark, d).select("k", P.owner(F.col("html")).alias("owner_name"))
 
 
-@query()
+@query(
+    """SELECT page_id AS k, page_id % 7 NOT IN (0, 3) AS allowed, CASE page_id % 7 WHEN 0 THEN 'robots_unavailable_503' WHEN 3 THEN 'robots_disallow' END AS reason FROM pages"""
+)
 def robots(spark, d):
-    """The standard library's parser on scripted rules: rows only."""
-    rows = spark.range(3000).selectExpr(
+    """Scripted answers to requests for robots.txt, of all pages."""
+    rows = table(spark, d, "pages").withColumnRenamed("page_id", "id").selectExpr(
         "id AS k", "CASE WHEN id % 7 = 0 THEN 503 WHEN id % 7 = 1 THEN 404 WHEN id % 7 <> 2 THEN 200 END AS status", "CASE WHEN id % 7 = 2 THEN 'refused' END AS error",
         "CAST(CASE WHEN id % 7 = 3 THEN 'User-agent: *\\nDisallow: /' WHEN id % 7 = 4 THEN 'User-agent: *\\nDisallow: /admin' ELSE '' END AS BINARY) AS body", "concat('https://shop', id, '.example.com/') AS url",
     )
@@ -250,19 +258,19 @@ def age_out(spark, d):
     return queues.age_out(X.after_dns(spark, d)).select("target_key", "status")
 
 
-@query("SELECT domain FROM newest WHERE is_freemail = 0 ORDER BY domain LIMIT 100")
+@query("SELECT domain FROM newest WHERE is_freemail = 0")
 def dns_pending(spark, d):
-    return queues.dns_pending(X.ingested(spark, d), limit=100).select("domain")
+    return queues.dns_pending(X.ingested(spark, d)).select("domain")
 
 
-@query("SELECT domain, created_year FROM t2 WHERE is_freemail = 0 AND dns_resolves = 1 AND (created_year IS NULL OR created_year >= 2020) ORDER BY created_year DESC NULLS LAST, domain LIMIT 100")
+@query("SELECT domain, created_year FROM t2 WHERE is_freemail = 0 AND dns_resolves = 1 AND (created_year IS NULL OR created_year >= 2020)")
 def http_pending(spark, d):
-    return queues.http_pending(queues.age_out(X.after_dns(spark, d)), limit=100).select("domain", "created_year")
+    return queues.http_pending(queues.age_out(X.after_dns(spark, d))).select("domain", "created_year")
 
 
-@query("SELECT domain, score FROM t4 WHERE is_freemail = 0 AND status = 'live' AND tier = 'tier1_email' AND tld IN ('com', 'uk') ORDER BY score DESC NULLS LAST, domain LIMIT 50")
+@query("SELECT domain, score FROM t4 WHERE is_freemail = 0 AND status = 'live'")
 def profile_pending(spark, d):
-    return queues.profile_pending(X.targets(spark, d), tier=S.TIER1, tlds=("com", "uk"), limit=50).select("domain", "score")
+    return queues.profile_pending(X.targets(spark, d)).select("domain", "score")
 
 
 @query("SELECT target_key, email FROM t4 WHERE tier = 'tier1_email'")
@@ -302,19 +310,20 @@ def tier(spark, d):
 
 
 _STORE = "is_freemail = 0"
-_STEPS = [
-    ("targets ingested", "true", ""), ("freemail addresses (ads only, never crawled)", "is_freemail = 1", "of targets"), ("store domains", _STORE, "of targets"),
-    ("stage 2: DNS settled", f"{_STORE} AND dns_checked = 1", "of store domains"), ("resolving", "dns_resolves = 1", "of store domains"),
-    ("DNS awaiting retry (only ever timed out)", f"{_STORE} AND dns_checked = 0 AND dns_attempts > 0", "of store domains"), ("not yet looked up", f"{_STORE} AND dns_checked = 0 AND dns_attempts = 0", "of store domains"),
-    ("stage 3: below the 2020 cutoff (never fetched)", f"{_STORE} AND dns_resolves = 1 AND created_year < 2020", "of store domains"), ("stage 3: fetched", "http_checked = 1", "of store domains"),
-    ("live", "status = 'live'", "of store domains"), ("HTTP awaiting retry (only ever timed out)", f"{_STORE} AND dns_resolves = 1 AND http_checked = 0 AND http_attempts > 0", "of store domains"),
-    ("still to fetch", f"{_STORE} AND dns_resolves = 1 AND http_checked = 0 AND http_attempts = 0 AND status <> 'aged_out' AND (created_year IS NULL OR created_year >= 2020)", "of store domains"),
-    ("stage 4: tiered", "tier IS NOT NULL", "of targets"),
-]
-_BASE = {"": "NULL", "of targets": "(SELECT count(*) FROM t4)", "of store domains": f"(SELECT count(*) FROM t4 WHERE {_STORE})"}
-
-
-@query(" UNION ALL ".join(f"SELECT {i} AS position, '{k}' AS step, count(*) FILTER (WHERE {t}) AS n, '{b}' AS basis, 100.0::DOUBLE * (count(*) FILTER (WHERE {t})) / {_BASE[b]} AS share FROM t4" for i, (k, t, b) in enumerate(_STEPS)))
+_STEPS = (
+    "true", "is_freemail = 1", _STORE, f"{_STORE} AND dns_checked = 1", "dns_resolves = 1", f"{_STORE} AND dns_checked = 0 AND dns_attempts > 0", f"{_STORE} AND dns_checked = 0 AND dns_attempts = 0",
+    f"{_STORE} AND dns_resolves = 1 AND created_year < 2020", "http_checked = 1", "status = 'live'", f"{_STORE} AND dns_resolves = 1 AND http_checked = 0 AND http_attempts > 0",
+    f"{_STORE} AND dns_resolves = 1 AND http_checked = 0 AND http_attempts = 0 AND status <> 'aged_out' AND (created_year IS NULL OR created_year >= 2020)", "tier IS NOT NULL",
+)
+_BASE = ("NULL", "(SELECT count(*) FROM t4)", f"(SELECT count(*) FROM t4 WHERE {_STORE})")
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT {i} AS position, '{label.format(year=2020)}' AS step, count(*) FILTER (WHERE {t}) AS n, '{reports.BASES[b]}' AS basis, 100.0::DOUBLE * (count(*) FILTER (WHERE {t})) / {_BASE[b]} AS share FROM t4"
+        for i, ((label, b), t) in enumerate(zip(reports.FUNNEL, _STEPS, strict=True))
+    )
+)
 def funnel(spark, d):
     return reports.funnel(X.targets(spark, d))
 

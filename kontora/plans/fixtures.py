@@ -7,7 +7,7 @@ from keys by arithmetic.  Each relation is one SELECT that both engines read;
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kontora import schema as S
@@ -15,6 +15,7 @@ from kontora.functions import contacts as C
 from kontora.functions import scoring
 from kontora.operators import ingest, observe, queues
 from kontora.operators.settle import DNS, HTTP, PROFILE, settle
+from kontora.sources.tables import settled
 
 NOW = "TIMESTAMP '2025-01-01 00:00:00'"
 
@@ -35,7 +36,7 @@ CONTACTS = f"""
 SELECT CAST(o_orderkey % 4 AS INT) AS file_idx, o_orderkey AS row_idx, concat({_LOCAL}, '@', domain) AS email, created
 FROM (SELECT o_orderkey, o_custkey, CASE WHEN k % 5 = 0 THEN {_FREE} ELSE concat('shop', CAST(k AS STRING), '.', {_TLD}) END AS domain,
   CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE {{stamp}}(CAST(year(o_orderdate) + 18 + k % 7 AS INT), CAST(month(o_orderdate) AS INT), 1, 0, 0, 0) END AS created
-  FROM (SELECT *, o_custkey % 3000 AS k FROM {{orders}}) a) b
+  FROM (SELECT *, o_custkey AS k FROM {{orders}}) a) b
 """
 
 _MARKER = pick(
@@ -69,11 +70,7 @@ SELECT k, concat('https://shop', {_K}, '.example.com/') AS base_url, CASE WHEN k
     CASE WHEN k % 2 = 0 THEN '<meta property="og:image" content="/o.png">' ELSE '' END,
     CASE WHEN k % 5 <> 1 THEN '<meta name="description" content="Fine goods">' ELSE '' END,
     CASE WHEN k % 13 = 5 THEN '<p>This domain is for sale</p>' ELSE '' END) AS html
-FROM (SELECT {{id}} AS k FROM range(3000)) r LEFT JOIN {{pages}} p ON p.page_id = k % 50
-"""
-
-STORES = """
-SELECT *, CAST(regexp_extract(domain, '^shop([0-9]+)[.]', 1) AS INT) AS k FROM {newest} WHERE is_freemail = 0
+FROM (SELECT page_id AS k, html FROM {{pages}}) p
 """
 
 
@@ -82,7 +79,14 @@ def contacts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, d: str) -> DataFrame:
-    return spark.sql(PAGES.replace("{id}", "id"), pages=spark.read.parquet(f"{d}/pages.parquet"))
+    return spark.sql(PAGES, pages=spark.read.parquet(f"{d}/pages.parquet"))
+
+
+def with_page(rows: DataFrame, spark: SparkSession, d: str) -> DataFrame:
+    """Stores (domain, k) with a page each; between them they have all pages."""
+    html = pages(spark, d).withColumnRenamed("k", "_k")
+    n = spark.read.parquet(f"{d}/pages.parquet").count()  # page ids are 0 to n - 1
+    return rows.select("domain", "k").join(html, F.col("k") % F.lit(max(n, 1)) == F.col("_k"))
 
 
 def classified(spark: SparkSession, d: str) -> DataFrame:
@@ -94,8 +98,11 @@ def newest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stores(targets: DataFrame) -> DataFrame:
-    k = F.regexp_extract("domain", "^shop([0-9]+)[.]", 1).try_cast("int")
-    return targets.filter("is_freemail = 0").withColumn("k", k)
+    return targets.filter("is_freemail = 0").withColumn("k", store_number())
+
+
+def store_number() -> Column:
+    return F.regexp_extract("domain", "^shop([0-9]+)[.]", 1).try_cast("bigint")
 
 
 def dns_answers(rows: DataFrame) -> DataFrame:
@@ -112,8 +119,7 @@ def dns_answers(rows: DataFrame) -> DataFrame:
 
 def http_responses(rows: DataFrame, spark: SparkSession, d: str) -> DataFrame:
     """Scripted answers of stores (with k) to a page request."""
-    html = pages(spark, d).withColumnRenamed("k", "_k")
-    joined = rows.select("domain", "k").join(html, F.col("k") == F.col("_k"))
+    joined = with_page(rows, spark, d)
     code = "CASE WHEN k % 13 IN (0, 1, 3, 4) THEN NULL WHEN k % 13 = 2 THEN 503 ELSE 200 END"
     return joined.selectExpr(
         "domain", "k", "base_url",
@@ -130,8 +136,7 @@ def http_responses(rows: DataFrame, spark: SparkSession, d: str) -> DataFrame:
 
 def visits(rows: DataFrame, spark: SparkSession, d: str) -> DataFrame:
     """Scripted profile visits of live stores (with k)."""
-    html = pages(spark, d).withColumnRenamed("k", "_k")
-    joined = rows.select("domain", "k").join(html, F.col("k") == F.col("_k"))
+    joined = with_page(rows, spark, d)
     return joined.selectExpr(
         "domain", "base_url AS start_url", "CASE WHEN k % 19 = 0 THEN 'robots_unavailable_503' WHEN k % 19 = 1 THEN 'robots_disallow' END AS robots_reason",
         "CASE WHEN k % 19 IN (2, 3) THEN NULL WHEN k % 19 = 4 THEN 404 ELSE 200 END AS status_code", "CASE k % 19 WHEN 2 THEN 'timeout' WHEN 3 THEN 'refused' END AS error",
@@ -143,17 +148,17 @@ def visits(rows: DataFrame, spark: SparkSession, d: str) -> DataFrame:
 def ingested(spark: SparkSession, d: str) -> DataFrame:
     """The organisation table after ingest, with some attempts made before."""
     t = S.conform(newest(spark, d))
-    prior = F.coalesce(F.regexp_extract("domain", "^shop([0-9]+)[.]", 1).try_cast("int") % 3, F.lit(0))
+    prior = F.coalesce(store_number() % 3, F.lit(0)).cast("int")
     return t.withColumn("dns_attempts", prior).withColumn("http_attempts", prior).withColumn("profile_attempts", prior)
 
 
 def after_dns(spark: SparkSession, d: str) -> DataFrame:
-    t = ingested(spark, d)
+    t = settled(ingested(spark, d))
     return settle(t, observe.dns_verdict(dns_answers(stores(queues.dns_pending(t)))), DNS, F.expr(NOW))
 
 
 def after_http(spark: SparkSession, d: str) -> DataFrame:
-    t = queues.age_out(after_dns(spark, d))
+    t = settled(queues.age_out(after_dns(spark, d)))
     return settle(t, observe.http_verdict(http_responses(stores(queues.http_pending(t)), spark, d)), HTTP, F.expr(NOW))
 
 
@@ -163,5 +168,5 @@ def targets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def profiled(spark: SparkSession, d: str) -> DataFrame:
-    t = targets(spark, d)
+    t = settled(targets(spark, d))
     return settle(t, observe.profile_verdict(visits(stores(queues.profile_pending(t)), spark, d)), PROFILE, F.expr(NOW))

@@ -26,7 +26,7 @@ def _filled(sql: str, **inputs: str) -> str:
 
 CTES = {
     "contacts": _filled(X.CONTACTS, stamp="make_timestamp", orders="orders"),
-    "html": _filled(X.PAGES, id="range", pages="pages"),
+    "html": _filled(X.PAGES, pages="pages"),
     "classified": f"""
 SELECT *, CASE WHEN free THEN email ELSE domain END AS target_key, free::INT AS is_freemail, (local_part IN ({names(R.ROLE_LOCALS)}))::INT AS is_role,
   CASE WHEN tld IN ({names(R.EU_TLDS)}) THEN 'EU' WHEN tld = 'ca' THEN 'CASL' WHEN tld = 'uk' THEN 'PECR' WHEN tld IN ({names(R.PERMISSIVE_TLDS)}) THEN 'PERMISSIVE' ELSE 'OTHER' END AS jurisdiction,
@@ -38,7 +38,7 @@ FROM (SELECT *, split_part(email, '@', 1) AS local_part, split_part(email, '@',
     "newest": """
 SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY target_key)::INT AS email_count FROM firsts)
 QUALIFY row_number() OVER (PARTITION BY target_key ORDER BY created DESC NULLS LAST, file_idx, row_idx) = 1""",
-    "keyed": "SELECT *, TRY_CAST(nullif(regexp_extract(domain, '^shop([0-9]+)[.]', 1), '') AS INT) AS k FROM newest",
+    "keyed": "SELECT *, TRY_CAST(nullif(regexp_extract(domain, '^shop([0-9]+)[.]', 1), '') AS BIGINT) AS k FROM newest",
     "dns_raw": """
 SELECT *, k % 17 NOT IN (0, 1, 2, 3) AS a_apex, CASE WHEN k % 17 = 2 THEN 'Timeout' END AS a_error, k % 17 = 3 AS a_www,
   CASE WHEN k % 17 IN (2, 4) THEN 'Timeout' END AS mx_error,
@@ -50,7 +50,7 @@ SELECT domain, k, up::INT AS dns_resolves, CASE WHEN a_apex THEN domain WHEN up
   NOT up AND mx_provider IS NULL AND a_error IS NOT NULL AS inconclusive
 FROM (SELECT *, a_apex OR (a_error IS NULL AND a_www) AS up FROM dns_raw)""",
     "t1": """
-SELECT n.* EXCLUDE (status, k), n.k, coalesce(n.k % 3, 0) + (d.domain IS NOT NULL)::INT AS dns_attempts, coalesce(n.k % 3, 0) AS http_prior,
+SELECT n.* EXCLUDE (status, k), n.k, coalesce(n.k % 3, 0)::INT + (d.domain IS NOT NULL)::INT AS dns_attempts, coalesce(n.k % 3, 0)::INT AS http_prior,
   CASE WHEN d.inconclusive AND n.k % 3 + 1 < 3 THEN 0 WHEN d.domain IS NULL THEN 0 ELSE 1 END AS dns_checked,
   CASE WHEN d.inconclusive THEN CASE WHEN n.k % 3 + 1 >= 3 THEN 0 END ELSE d.dns_resolves END AS dns_resolves,
   CASE WHEN d.inconclusive THEN CASE WHEN n.k % 3 + 1 >= 3 THEN 0 END ELSE d.has_mx END AS has_mx,
@@ -59,9 +59,9 @@ SELECT n.* EXCLUDE (status, k), n.k, coalesce(n.k % 3, 0) + (d.domain IS NOT NUL
 FROM keyed n LEFT JOIN dns d ON n.domain = d.domain AND n.is_freemail = 0""",
     "t2": "SELECT * EXCLUDE (status), CASE WHEN is_freemail = 0 AND dns_resolves = 1 AND created_year < 2020 THEN 'aged_out' ELSE status END AS status FROM t1",
     "http_raw": """
-SELECT t.domain, t.k, h.html, h.base_url, h.header_only, CASE t.k % 13 WHEN 3 THEN 'robots_disallow' WHEN 4 THEN 'robots_unavailable_503' END AS robots_reason,
+SELECT t.domain, t.k, h.k AS page, h.html, h.base_url, h.header_only, CASE t.k % 13 WHEN 3 THEN 'robots_disallow' WHEN 4 THEN 'robots_unavailable_503' END AS robots_reason,
   CASE WHEN t.k % 13 IN (0, 1, 3, 4) THEN NULL WHEN t.k % 13 = 2 THEN 503 ELSE 200 END AS code, CASE t.k % 13 WHEN 0 THEN 'timeout' WHEN 1 THEN 'refused' END AS error
-FROM t2 t JOIN html h ON t.k = h.k WHERE t.is_freemail = 0 AND t.dns_resolves = 1 AND (t.created_year IS NULL OR t.created_year >= 2020)""",
+FROM t2 t JOIN html h ON t.k % (SELECT count(*) FROM pages) = h.k WHERE t.is_freemail = 0 AND t.dns_resolves = 1 AND (t.created_year IS NULL OR t.created_year >= 2020)""",
     "signals": f"""
 SELECT k, html, base_url, nullif(left(trim(regexp_replace(replace(regexp_extract(html, '(?is){text(R.TITLE)}', 1), '&amp;', '&'), '\\s+', ' ', 'g')), 300), '') AS page_title,
   nullif(lower(regexp_extract(html, '(?i){text(R.HTML_LANG)}', 1)), '') AS lang,
@@ -76,12 +76,12 @@ SELECT k, html, base_url, nullif(left(trim(regexp_replace(replace(regexp_extract
 FROM html""",
     "http": """
 SELECT r.domain, CASE WHEN seen THEN code END AS http_status, CASE WHEN seen THEN r.base_url END AS final_url, CASE WHEN seen THEN s.page_title END AS page_title,
-  CASE WHEN robots_reason IS NULL THEN (r.k * 37) % 4000 END AS response_time_ms, CASE WHEN seen THEN s.platform END AS platform,
+  CASE WHEN robots_reason IS NULL THEN ((r.k * 37) % 4000)::INT END AS response_time_ms, CASE WHEN seen THEN s.platform END AS platform,
   CASE WHEN seen THEN s.has_cart ELSE 0 END AS has_cart, CASE WHEN seen THEN s.has_product_schema ELSE 0 END AS has_product_schema, CASE WHEN seen THEN s.is_parked ELSE 0 END AS is_parked,
   CASE WHEN seen THEN s.lang END AS lang, (robots_reason IS NULL)::INT AS robots_allowed, coalesce(robots_reason, error) AS http_error,
   CASE WHEN robots_reason IS NOT NULL THEN 'blocked' WHEN code IS NULL THEN 'dead' WHEN s.is_parked = 1 THEN 'parked' WHEN code = 200 THEN 'live' ELSE 'error' END AS status,
   coalesce(starts_with(robots_reason, 'robots_unavailable'), false) OR coalesce(error = 'timeout' AND robots_reason IS NULL, false) AS inconclusive
-FROM (SELECT *, robots_reason IS NULL AND code IS NOT NULL AS seen FROM http_raw) r JOIN signals s ON r.k = s.k""",
+FROM (SELECT *, robots_reason IS NULL AND code IS NOT NULL AS seen FROM http_raw) r JOIN signals s ON r.page = s.k""",
     "t3": """
 SELECT t.* EXCLUDE (status, http_prior), http_prior + (h.domain IS NOT NULL)::INT AS http_attempts, CASE WHEN h.domain IS NULL OR (h.inconclusive AND http_prior + 1 < 3) THEN 0 ELSE 1 END AS http_checked,
   CASE WHEN NOT h.inconclusive THEN h.http_status END AS http_status, CASE WHEN NOT h.inconclusive THEN h.final_url END AS final_url, CASE WHEN NOT h.inconclusive THEN h.page_title END AS page_title,
@@ -110,8 +110,8 @@ FROM (SELECT *, CASE WHEN status = 'live' THEN raw ELSE 0 END AS points FROM sco
     "visit": """
 SELECT t.domain, t.k, s.*  EXCLUDE (k), CASE WHEN t.k % 19 = 0 THEN 'robots_unavailable' WHEN t.k % 19 = 1 THEN 'robots_disallow' WHEN t.k % 19 = 2 THEN 'timeout' WHEN t.k % 19 = 3 THEN 'refused'
   WHEN t.k % 19 = 4 THEN 'http_404' END AS problem, t.k % 19 IN (0, 2) AS inconclusive,
-  CASE WHEN t.k % 16 = 0 THEN NULL WHEN t.k % 8 = 0 THEN 'Jörg Müller' END AS foot, CASE WHEN t.k % 9 = 0 THEN 'Ana de Souza' END AS note
-FROM t4 t JOIN signals s ON t.k = s.k WHERE t.is_freemail = 0 AND t.status = 'live'""",
+  CASE WHEN s.k % 16 = 0 THEN NULL WHEN s.k % 8 = 0 THEN 'Jörg Müller' END AS foot, CASE WHEN t.k % 9 = 0 THEN 'Ana de Souza' END AS note
+FROM t4 t JOIN signals s ON t.k % (SELECT count(*) FROM pages) = s.k WHERE t.is_freemail = 0 AND t.status = 'live'""",
     "profile": """
 SELECT domain, inconclusive, problem AS profile_error, CASE WHEN ok THEN CASE WHEN person IS NOT NULL THEN 'https://www.linkedin.com/in/' || person WHEN company IS NOT NULL THEN 'https://www.linkedin.com/company/' || company
     WHEN short IS NOT NULL THEN 'https://lnkd.in/' || short END END AS linkedin_url,
@@ -120,7 +120,7 @@ SELECT domain, inconclusive, problem AS profile_error, CASE WHEN ok THEN CASE WH
   CASE WHEN ok AND len(imgs) > 0 THEN k * 100 END AS sample_image_bytes, CASE WHEN ok THEN coalesce(note, foot) END AS owner_name
 FROM (SELECT *, problem IS NULL AS ok FROM visit)""",
     "t5": """
-SELECT t.*, coalesce(t.k % 3, 0) + (p.domain IS NOT NULL)::INT AS profile_attempts, CASE WHEN p.domain IS NULL OR (p.inconclusive AND t.k % 3 + 1 < 3) THEN 0 ELSE 1 END AS profile_checked, p.profile_error,
+SELECT t.*, coalesce(t.k % 3, 0)::INT + (p.domain IS NOT NULL)::INT AS profile_attempts, CASE WHEN p.domain IS NULL OR (p.inconclusive AND t.k % 3 + 1 < 3) THEN 0 ELSE 1 END AS profile_checked, p.profile_error,
   CASE WHEN NOT p.inconclusive THEN p.linkedin_url END AS linkedin_url, CASE WHEN NOT p.inconclusive THEN p.linkedin_kind END AS linkedin_kind, CASE WHEN NOT p.inconclusive THEN p.image_count END AS image_count,
   CASE WHEN NOT p.inconclusive THEN p.images_no_alt END AS images_no_alt, CASE WHEN NOT p.inconclusive THEN p.sample_image_bytes END AS sample_image_bytes, CASE WHEN NOT p.inconclusive THEN p.owner_name END AS owner_name
 FROM t4 t LEFT JOIN profile p ON t.domain = p.domain AND t.is_freemail = 0""",

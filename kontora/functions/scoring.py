@@ -51,14 +51,14 @@ def disqualified() -> Column:
     status, none = F.col("status"), F.lit(None).cast("string")
     return (
         F.when(status == S.FREEMAIL, none)
-        .when(status == S.DEAD, "does not resolve or nothing served")
-        .when(status == S.MX_ONLY, "mail exchanger but no website")
-        .when(status == S.BLOCKED, "robots.txt disallows the site root")
-        .when((status == S.PARKED) | _flag("is_parked"), "parked or for-sale page")
+        .when(status == S.DEAD, REASONS["dead"])
+        .when(status == S.MX_ONLY, REASONS["mx_only"])
+        .when(status == S.BLOCKED, REASONS["blocked"])
+        .when((status == S.PARKED) | _flag("is_parked"), REASONS["parked"])
         .when(status == S.AGED_OUT, none)
-        .when(~status.eqNullSafe(F.lit(S.LIVE)), F.concat(F.lit("not live (status "), F.coalesce(status, F.lit("None")), F.lit(")")))
-        .when(~F.col("http_status").eqNullSafe(F.lit(200)), F.concat(F.lit("non-200 response ("), F.coalesce(F.col("http_status").cast("string"), F.lit("None")), F.lit(")")))
-        .when(~_flag("has_cart"), "no cart or checkout link found")
+        .when(~status.eqNullSafe(F.lit(S.LIVE)), F.concat(F.lit(REASONS["not_live"]), F.coalesce(status, F.lit("None")), F.lit(")")))
+        .when(~F.col("http_status").eqNullSafe(F.lit(200)), F.concat(F.lit(REASONS["not_200"]), F.coalesce(F.col("http_status").cast("string"), F.lit("None")), F.lit(")")))
+        .when(~_flag("has_cart"), REASONS["no_cart"])
     )
 
 
@@ -90,7 +90,7 @@ def assign_tiers(targets: DataFrame, min_score: int = R.MIN_SCORE) -> DataFrame:
         F.concat(place, F.lit(REASONS["abroad"])),
         F.lit(REASONS["no_mx"]),
         F.lit(REASONS["aged_out"]),
-        F.concat(F.lit("live but scores "), F.col("_live").cast("string"), F.lit(f" (below {min_score})")),
+        F.concat(F.lit(REASONS["low"]), F.col("_live").cast("string"), F.lit(f" (below {min_score})")),
         F.lit(REASONS["clear"]),
     )
     return base.withColumn("tier", tier).withColumn("score", points).withColumn("tier_reason", reason).drop("_why", "_score", "_live")
@@ -98,6 +98,14 @@ def assign_tiers(targets: DataFrame, min_score: int = R.MIN_SCORE) -> DataFrame:
 
 #: Reasons as they are reported.
 REASONS = {
+    "dead": "does not resolve or nothing served",
+    "mx_only": "mail exchanger but no website",
+    "blocked": "robots.txt disallows the site root",
+    "parked": "parked or for-sale page",
+    "not_live": "not live (status ",
+    "not_200": "non-200 response (",
+    "no_cart": "no cart or checkout link found",
+    "low": "live but scores ",
     "freemail": "freemail contact: ads audience only, never email",
     "abroad": " jurisdiction: ads audience only, no cold email",
     "no_mx": "no MX record: cannot be emailed, ads audience only",

@@ -17,9 +17,11 @@ def metrics(df: DataFrame, tests: dict[str, Column]) -> DataFrame:
     return one.select(F.inline(rows))
 
 
-def summarize(df: DataFrame, column: str) -> DataFrame:
-    """Counts by value, null too, the largest first and ties by value."""
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), F.col(column).asc_nulls_first())
+def summarize(df: DataFrame, column: str, by_value: bool = False) -> DataFrame:
+    """Counts by value, null too: the largest first and ties by value, or by value
+    alone with null last."""
+    order = [F.col(column).asc_nulls_last()] if by_value else [F.col("n").desc(), F.col(column).asc_nulls_first()]
+    return df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(*order)
 
 
 def top(df: DataFrame, column: str, n: int) -> DataFrame:
@@ -29,32 +31,31 @@ def top(df: DataFrame, column: str, n: int) -> DataFrame:
 def shares(df: DataFrame, column: str) -> DataFrame:
     """Counts by value with their share of all rows in percent."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = F.greatest(F.sum("n").over(W.partitionBy()), F.lit(1))  # a row for each value
+    total = F.greatest(df.agg(F.count(F.lit(1))).scalar(), F.lit(1))
     return counts.withColumn("share", F.lit(100.0) * F.col("n") / total)
 
 
+#: What a share is of, and the steps of the funnel with the place of their base.
+BASES = ("", "of all rows", "of all shops")
+FUNNEL = (
+    ("all rows", 0), ("freemail contacts, never crawled", 1), ("shops", 1), ("DNS answered", 2), ("name resolves", 2), ("DNS to be retried", 2), ("DNS not asked yet", 2),
+    ("contact older than {year}, not crawled", 2), ("home page answered", 2), ("live shop", 2), ("home page to be retried", 2), ("home page not asked yet", 2), ("rows with a tier", 1),
+)
+
+
 def funnel(targets: DataFrame, min_year: int = MIN_YEAR) -> DataFrame:
     """(position, step, n, basis, share): the narrowing from targets to tiers."""
     store, up = F.col("is_freemail") == 0, F.col("dns_resolves") == 1
     waiting_dns = store & F.col("dns_checked_at").isNull()
     unfetched = F.col("http_checked_at").isNull()
     young = F.col("created_year").isNull() | (F.col("created_year") >= min_year)
-    of_all, of_stores = "of targets", "of store domains"
-    steps = [
-        ("targets ingested", F.lit(True), ""),
-        ("freemail addresses (ads only, never crawled)", F.col("is_freemail") == 1, of_all),
-        ("store domains", store, of_all),
-        ("stage 2: DNS settled", store & F.col("dns_checked_at").isNotNull(), of_stores),
-        ("resolving", up, of_stores),
-        ("DNS awaiting retry (only ever timed out)", waiting_dns & (F.col("dns_attempts") > 0), of_stores),
-        ("not yet looked up", waiting_dns & (F.col("dns_attempts") == 0), of_stores),
-        (f"stage 3: below the {min_year} cutoff (never fetched)", store & up & (F.col("created_year") < min_year), of_stores),
-        ("stage 3: fetched", ~unfetched, of_stores),
-        ("live", F.col("status") == S.LIVE, of_stores),
-        ("HTTP awaiting retry (only ever timed out)", store & up & unfetched & (F.col("http_attempts") > 0), of_stores),
-        ("still to fetch", store & up & unfetched & (F.col("http_attempts") == 0) & (F.col("status") != S.AGED_OUT) & young, of_stores),
-        ("stage 4: tiered", F.col("tier").isNotNull(), of_all),
-    ]
+    tests = (
+        F.lit(True), F.col("is_freemail") == 1, store, store & F.col("dns_checked_at").isNotNull(), up, waiting_dns & (F.col("dns_attempts") > 0), waiting_dns & (F.col("dns_attempts") == 0),
+        store & up & (F.col("created_year") < min_year), ~unfetched, F.col("status") == S.LIVE, store & up & unfetched & (F.col("http_attempts") > 0),
+        store & up & unfetched & (F.col("http_attempts") == 0) & (F.col("status") != S.AGED_OUT) & young, F.col("tier").isNotNull(),
+    )
+    of_all, of_stores = BASES[1:]
+    steps = [(label.format(year=min_year), t, BASES[base]) for (label, base), t in zip(FUNNEL, tests, strict=True)]
     one = targets.agg(*(F.count_if(F.coalesce(t, F.lit(False))).alias(f"m{i}") for i, (_, t, _) in enumerate(steps)))
     base = {"": F.lit(None).cast("bigint"), of_all: F.col("m0"), of_stores: F.col("m2")}
     rows = F.array(

@@ -141,19 +141,42 @@ def image_head(r: Response) -> tuple[int | None, str | None]:
     return (int(size) if size.isdigit() else None), (headers.get("content-type") or "")[:60] or None
 
 
-PROFILE_SCHEMA = "domain string, start_url string, robots_reason string, status_code int, error string, final_url string, page string, legal_page string, image_bytes bigint, image_type string"
+VISIT_SCHEMA = "domain string, start_url string, robots_reason string, status_code int, error string, final_url string, page string, legal_page string, rules_status int, rules_body binary, rules_error string"
+PROFILE_COLUMNS = ("domain", "start_url", "robots_reason", "status_code", "error", "final_url", "page", "legal_page", "image_bytes", "image_type")
 
 
 def profile_visits(pending: DataFrame, make: Callable[[], Fetcher], tasks: int = 64, probe: bool = True) -> DataFrame:
     """Visits of live stores (domain, start_url): home page, legal notice, image.
 
-    The rules of the home page's origin hold for all three requests.
+    The rules of the home page's origin hold for all three requests.  Which image is
+    asked for is worked out from the pages, which are written first.
     """
+    from kontora.functions.pages import audit_images
+    from kontora.functions.urls import robots_allows
+    from kontora.sources.tables import settled
+
+    seen = settled(_visited(pending, make, tasks))
+    if not probe:
+        return seen.withColumn("image_bytes", F.lit(None).cast("bigint")).withColumn("image_type", F.lit(None).cast("string")).select(*PROFILE_COLUMNS)
+    pages = seen.filter("page is not null")
+    sample = pages.select("domain", "rules_status", "rules_body", "rules_error", audit_images(F.col("page"), F.coalesce("final_url", "start_url"))["sample_image_url"].alias("url")).filter("url is not null")
+    allowed = sample.withColumn("may", robots_allows(F.col("rules_status"), F.col("rules_body"), F.col("rules_error"), F.col("url"))["allowed"]).filter("may").select("domain", "url")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fetcher = make()
+        for frame in frames:
+            rows = [(d, *image_head(fetcher.head(u))) for d, u in zip(frame["domain"], frame["url"], strict=True)]
+            yield pd.DataFrame(rows, columns=["domain", "image_bytes", "image_type"]).astype({"image_bytes": "Int64"})
+
+    images = allowed.repartition(tasks, "domain").mapInPandas(run, "domain string, image_bytes bigint, image_type string")
+    return seen.join(images, "domain", "left").select(*PROFILE_COLUMNS)
+
+
+def _visited(pending: DataFrame, make: Callable[[], Fetcher], tasks: int) -> DataFrame:
     import re
     from urllib.parse import urljoin
 
     from kontora.functions import rules as R
-    from kontora.functions.pages import images_of
 
     legal = re.compile(R.LEGAL_PAGE, re.I)
 
@@ -161,26 +184,23 @@ def profile_visits(pending: DataFrame, make: Callable[[], Fetcher], tasks: int =
         origin = "{0}://{1}".format(*urlsplit(start)[:2])
         rules = fetcher.get(f"{origin}/robots.txt", retry_timeout=False, budget_s=8)
         may = lambda url: robots_verdict(rules.status, rules.body, rules.error, url)
+        told = (rules.status, rules.body, rules.error)
         allowed, reason = may(start)
         if not allowed:
-            return domain, start, reason, None, None, None, None, None, None, None
+            return domain, start, reason, None, None, None, None, None, *told
         home = fetcher.get(start)
         if home.status != 200:
-            return domain, start, None, home.status, home.error, home.final_url, None, None, None, None
-        page, base = home.body[:MAX_BODY_BYTES].decode("utf-8", "ignore"), home.final_url or start
-        notice = size = kind = None
-        if (m := legal.search(page)) and may(url := urljoin(base, m[1]))[0]:
+            return domain, start, None, home.status, home.error, home.final_url, None, None, *told
+        page, notice = home.body[:MAX_BODY_BYTES].decode("utf-8", "ignore"), None
+        if (m := legal.search(page)) and may(url := urljoin(home.final_url or start, m[1]))[0]:
             got = fetcher.get(url, retry_timeout=False)
             notice = got.body[:MAX_BODY_BYTES].decode("utf-8", "ignore") if got.status == 200 else None
-        if probe and (sample := images_of(page, base)[-1]) and may(sample)[0]:
-            size, kind = image_head(fetcher.head(sample))
-        return domain, start, None, 200, None, home.final_url, page, notice, size, kind
+        return domain, start, None, 200, None, home.final_url, page, notice, *told
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fetcher = make()
         for frame in frames:
             rows = [one(fetcher, d, s) for d, s in zip(frame["domain"], frame["start_url"], strict=True)]
-            out = pd.DataFrame(rows, columns=[c.split()[0] for c in PROFILE_SCHEMA.split(", ")])
-            yield out.astype({"status_code": "Int32", "image_bytes": "Int64"})
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in VISIT_SCHEMA.split(", ")]).astype({"status_code": "Int32", "rules_status": "Int32"})
 
-    return pending.select("domain", "start_url").repartition(tasks, F.col("domain")).mapInPandas(run, PROFILE_SCHEMA)
+    return pending.select("domain", "start_url").repartition(tasks, F.col("domain")).mapInPandas(run, VISIT_SCHEMA)

@@ -43,7 +43,33 @@ def test_cli_resumes_by_ledger(spark, tmp_path, capsys):
     assert cli.run_export(spark, db, str(tmp_path / "out")) == {"tier1_email": 0, "tier2_ads": 0, "tier3_nurture": 0, "dropped": 0}
     assert sorted(os.listdir(tmp_path / "out")) == ["dropped.xlsx", "tier1_email.xlsx", "tier2_ads.xlsx", "tier3_nurture.xlsx"]
     assert set(cli.run_outreach(spark, db, str(tmp_path / "out" / "o.xlsx"), 20)) == {"best leads", "image sites no cart", "named owners", "linkedin only", "image heavy no contact"}
-    assert cli.text_table([("a", "1,000"), ("b", "2")], ["x", "n"]).splitlines()[2].endswith("1,000")
+    cli.run_status(spark, db)
+    assert "input files" in capsys.readouterr().out
+    assert cli.run_verify(spark, db) == 0
+
+
+def test_tables_of_the_console():
+    assert cli.text_table([("a", "1,000"), ("b", "+2"), ("c", "- 3")], ["x", "number"]).splitlines() == ["x  number", "-  ------", "a   1,000", "b      +2", "c     - 3"]
+    assert cli.text_table([("1", None), ("2", "5")], ["x", "n"]).splitlines()[2:] == ["1", "2  5"] and cli.text_table([], ["x"]) == "x\n-"
+
+
+def test_many_workbooks_are_one_merge(spark, tmp_path):
+    for name, rows in (("a", [(datetime(2020, 1, 1), "x@one.com:y@two.com")]), ("b", [(datetime(2022, 1, 1), "z@one.com:w@three.com")])):
+        xlsx.write_workbook(str(tmp_path / f"{name}.xlsx"), [xlsx.Sheet("S", [], rows)], header=False)
+    db = str(tmp_path / "db")
+    assert cli.run_ingest(spark, db, str(tmp_path), "*.xlsx") == 0
+    table = Snapshots(spark, f"{db}/targets")
+    assert {r.target_key: (r.email, r.email_count) for r in table.read().collect()} == {"one.com": ("z@one.com", 2), "two.com": ("y@two.com", 1), "three.com": ("w@three.com", 1)}
+    assert table.versions() == [0]
+    ledger = Snapshots(spark, f"{db}/ledger", S.LEDGER).read().orderBy("path").collect()
+    assert [(os.path.basename(r.path), r.emails, r.new_targets) for r in ledger] == [("a.xlsx", 2, 2), ("b.xlsx", 2, 1)]
+
+
+def test_verdicts_of_a_verifier(spark, tmp_path):
+    table = Snapshots(spark, f"{tmp_path}/db/targets")
+    table.write(spark.createDataFrame([("a.com", "a@a.com", "tier1_email"), ("b.com", "b@b.com", "tier1_email"), ("c.com", "c@c.com", "dropped")], "target_key string, email string, tier string"))
+    assert cli.run_verify(spark, f"{tmp_path}/db", lambda rows: rows.filter("email like 'a%'").select("target_key", F.lit("valid").alias("result")), limit=2) == 2
+    assert {r.target_key: (r.verify_result, r.verify_status) for r in table.read().collect()} == {"a.com": ("valid", "done"), "b.com": ("unknown", "done"), "c.com": (None, None)}
 
 
 def test_export_layout(tmp_path):

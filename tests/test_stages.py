@@ -139,6 +139,31 @@ def test_inconclusive_dns(spark, attempts, status, stamped):
     assert got["x@s.com"].dns_attempts == 0
 
 
+def test_one_domain_of_most_rows_never_enters_the_join(spark):
+    """Freemail rows of one domain are nine in ten."""
+    v = spark.createDataFrame([("s.com", 1, "s.com", 0, None, None, None, False)], "domain string, dns_resolves int, a_host string, has_mx int, mx_provider string, dns_error string, status string, inconclusive boolean")
+    rows = spark.range(1000).selectExpr("concat('u', id, if(id % 10 = 0, '.com', '@s.com')) AS target_key", "if(id = 0, 's.com', if(id % 10 = 0, concat('u', id, '.com'), 's.com')) AS domain", "if(id % 10 = 0, 0, 1) AS is_freemail")
+    out = settle(S.conform(rows), v, DNS, F.lit(NOW))
+    assert out.count() == 1000 and [r.target_key for r in out.filter("dns_checked_at is not null").collect()] == ["u0.com"]
+    joined = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "is_freemail" in joined.split("Join LeftOuter")[1].split("Filter", 1)[1]
+
+
+def test_limits_and_orders_of_queues(spark):
+    t = targets(spark, *({"target_key": f"{k}.com", "domain": f"{k}.com", "status": "live", "score": s, "tier": S.TIER1, "tld": "com", "is_freemail": 0, "dns_resolves": 1} for k, s in (("a", 5), ("b", 9), ("c", None), ("d", 9))))
+    assert [r.domain for r in queues.profile_pending(t, tier=S.TIER1, tlds=("com",), limit=3).collect()] == ["b.com", "d.com", "a.com"]
+    assert [r.domain for r in queues.dns_pending(t, limit=2).collect()] == ["a.com", "b.com"]
+    assert [r.score for r in reports.summarize(t, "score", by_value=True).collect()] == [5, 9, None]
+
+
+def test_fixed_values_are_what_they_were():
+    from kontora.functions import rules as R
+
+    assert {"gmail.com", "web.de", "t-online.de"} <= set(R.FREEMAIL_DOMAINS) and len(R.FREEMAIL_DOMAINS) == 28 and len(R.ROLE_LOCALS) == 20 and len(R.EU_TLDS) == 28
+    assert (R.BASE_POINTS, R.CART_POINTS, R.SCHEMA_POINTS, R.MX_POINTS, R.FAST_POINTS, R.ROLE_POINTS, R.FAST_MS) == (5, 20, 5, 15, 5, -5, 2000)
+    assert R.RECENCY_POINTS == ((2024, 15), (2022, 12), (2020, 6)) and R.PLATFORM_POINTS["Shopify"] == 35 and (R.MIN_YEAR, R.MIN_SCORE, R.MAX_ATTEMPTS, R.MIN_IMAGES) == (2020, 55, 3, 20)
+
+
 def test_blocked_stays_blocked_at_the_last_attempt(spark):
     v = observe.http_verdict(N.http_responses(spark.createDataFrame([("s.com", URLS)], "domain string, urls array<string>"), lambda: Web(("robots", N.Response(503))), tasks=1))
     r = settle(targets(spark, {"target_key": "s.com", "domain": "s.com", "http_attempts": 2, "robots_allowed": 1}), v, HTTP, F.lit(NOW)).first()

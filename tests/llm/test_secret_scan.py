@@ -85,6 +85,23 @@ def test_rate_of_false_discoveries(spark):
     assert true >= 285 and false <= 0.05 * true, (true, false)
 
 
+def test_rate_of_false_discoveries_on_words_of_another_text(spark):
+    """Names in camel case and other joined words, of a text that no constant was chosen on."""
+    from pydoc_data.topics import topics
+
+    words = sorted(set(re.findall(r"\b[a-z]{2,12}\b", " ".join(topics.values()))))
+    for seed in (1, 2):
+        r = random.Random(seed)
+        some = lambda: r.choices(words, k=r.randint(3, 10))  # noqa: E731, B023
+        shape = [lambda: "".join(w.title() for w in some()), lambda: "".join(some()), lambda: "_".join(some()), lambda: "-".join(w.title() for w in some()), lambda: "/".join(some()) + f"/v{r.randrange(9)}"]  # noqa: B023
+        plain = [t for t in (r.choice(shape)() for _ in range(5000)) if len(t) >= 20]
+        secrets = ["".join(r.choices(string.ascii_letters + string.digits, k=r.choice([24, 32, 40, 64]))) for _ in range(300)]
+        got = scan(spark, [f"see {t} here" for t in secrets + plain])
+        hit = [any(s[0] == "random" for s in got[i]) for i in range(len(got))]
+        true, false = sum(hit[:300]), sum(hit[300:])
+        assert true >= 270 and false <= X.RATE * (true + false), (seed, true, false)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert X.scan_secrets(df).count() == 0

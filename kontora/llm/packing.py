@@ -35,7 +35,7 @@ from kontora.llm.common import cut
 CAPACITY, END_ID = 1024, 2
 #: Fixed value: the split pattern of byte-level vocabularies.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Least number of buckets of a length, and rows a bucket may hold beyond it.
+#: Buckets that all pieces would fill, and rows a bucket may hold beyond it.
 BUCKETS, BUCKET_ROWS = 1024, 1_000_000
 Pattern = tuple[int, ...]
 
@@ -301,8 +301,11 @@ def pack_documents(
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most capacity rows
     patterns = Packer(histogram, capacity).pack()
     table = spark.sparkContext.broadcast(slots(patterns))
-    buckets = max(BUCKETS, sum(histogram.values()) // BUCKET_ROWS)
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
+    # A length has as many buckets as its share of the pieces asks for, so there are
+    # few buckets in all to number, and none holds much of a frequent length.
+    share = min(BUCKET_ROWS, 1 + sum(histogram.values()) // BUCKETS)
+    buckets = spark.createDataFrame([(w, 1 + n // share) for w, n in histogram.items()], "length bigint, buckets bigint")
+    dealt = pieces.join(F.broadcast(buckets), "length").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), "buckets"))
     sizes = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = W.partitionBy("length").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     # Cut, or the join would deal the pieces by length alone, as this window does.

@@ -159,7 +159,7 @@ def after_dns(spark: SparkSession, d: str) -> DataFrame:
 
 def after_http(spark: SparkSession, d: str) -> DataFrame:
     t = settled(queues.age_out(after_dns(spark, d)))
-    return settle(t, observe.http_verdict(http_responses(stores(queues.http_pending(t)), spark, d)), HTTP, F.expr(NOW))
+    return settle(t, observe.http_verdict(http_responses(stores(queues.http_pending(t)), spark, d), by_sql=True), HTTP, F.expr(NOW))
 
 
 def targets(spark: SparkSession, d: str) -> DataFrame:

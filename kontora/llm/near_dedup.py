@@ -45,6 +45,10 @@ BINS, DEVIATIONS = 1024, 5.5
 BLOCK = 512
 #: Most ids that may be broadcast (8 bytes each) to pick texts for confirming.
 BROADCAST_IDS = 1_000_000
+#: Most rows (of at most four numbers) that the rest round broadcasts; more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
+#: Most links (16 bytes each) whose components are found by one task; more take rounds over all.
+LINKS_AT_ONCE = 1_000_000
 #: Word hashes kept by a worker.
 CACHE = 150_000
 
@@ -235,14 +239,37 @@ def _confirm(width: int, percent: int):
     return run
 
 
+def _reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Least id reachable of each end: roots are hung under lesser ones until no link joins two."""
+    ends = [np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) for batch in batches]
+    ids, at = np.unique(np.concatenate(ends, axis=1) if ends else np.zeros((2, 0), np.int64), return_inverse=True)
+    u, v = at.reshape(2, -1)
+    top = np.arange(len(ids))
+    while True:
+        x, y = top[u], top[v]
+        live = x != y
+        if not live.any():
+            break
+        u, v = u[live], v[live]
+        np.minimum.at(top, np.maximum(x, y)[live], np.minimum(x, y)[live])
+        while ((up := top[top]) != top).any():
+            top = up
+    comp = ids[top]
+    for k in range(0, len(ids), 10_000):
+        yield pa.RecordBatch.from_arrays([pa.array(ids[k : k + 10_000]), pa.array(comp[k : k + 10_000])], ["id", "comp"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, comp) of the nodes of ``links`` (a, b): comp is the least id reachable.
 
-    Alternates large-star and small-star steps (logarithmic rounds), each a
-    partial aggregation and a join that adaptive execution may split; every
-    round is checkpointed and nothing but a count reaches the driver.
+    ``links`` is read more than once.  Up to ``LINKS_AT_ONCE`` of them go through
+    one task.  More alternate large-star and small-star steps (logarithmic
+    rounds), each a partial aggregation and a join that adaptive execution may
+    split; every round is checkpointed and nothing but a count reaches the driver.
     """
-    edges = cut(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    if small_enough(edges, LINKS_AT_ONCE):
+        return cut(edges.coalesce(1).mapInArrow(_reach, "id bigint, comp bigint"))
     before = None
     while True:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -277,7 +304,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = cut(known.filter("own is not null and id is not null").groupBy("own").agg(F.min("id").alias("rep")))
     at = (known["own"] == classes["own"]) & (known["id"] == classes["rep"])
     signed = cut(known.join(classes, at).select("id", "n", "coords", "sketch"))
-    comp = components(_links(base, signed, width, percent))
+    comp = components(cut(_links(base, signed, width, percent)))
     labels = classes.join(comp, classes["rep"] == comp["id"], "left").select("own", F.coalesce("comp", "rep").alias("component_id"))
     out = known.select("id", "n", "own").join(labels, "own", "left")
     out = out.withColumn("component_id", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")))
@@ -287,37 +314,49 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _links(base: DataFrame, signed: DataFrame, width: int, percent: int) -> DataFrame:
     pairs = "a bigint, b bigint"
-    prefix = COORDINATES - MATCHES + 1
-    posts = signed.select("id", F.posexplode(F.slice("coords", 1, prefix)).alias("j", "value"))
-    key = F.xxhash64("j", "value")
-    met = posts.select(key.alias("key"), "id").repartitionByRange("key", "id").sortWithinPartitions("key", "id")
+    met = _posts(signed).select("key", "id").repartitionByRange("key", "id").sortWithinPartitions("key", "id")
     met = met.mapInArrow(_meet, "a bigint, b bigint, kind int")
     counted = met.groupBy("a", "b", "kind").agg(F.count(F.lit(1)).alias("hits"))
     best = counted.groupBy("b", "kind").agg(F.max(F.struct("hits", (-F.col("a")).alias("a"))).alias("x"))
     first = cut(_confirmed(base, cut(best.select((-F.col("x.a")).alias("a"), "b").distinct()), width, percent, pairs))
-    comp = cut(components(first))
-    rest = cut(_rest(signed, comp, posts, key, percent / 100, pairs))
+    rest = cut(_rest(signed, components(first), percent / 100, pairs))
     return first.union(_confirmed(base, rest, width, percent, pairs))
 
 
-def _rest(signed: DataFrame, comp: DataFrame, posts: DataFrame, key, similarity: float, pairs: str) -> DataFrame:
-    """Pairs across components, of lists that hold several, worth confirming."""
-    at = posts.join(comp, "id", "left").select(key.alias("key"), "j", "id", F.coalesce("comp", "id").alias("comp"))
+def _posts(docs: DataFrame) -> DataFrame:
+    """A row for each posting of ``docs``, with all columns but ``coords``."""
+    rest = [c for c in docs.columns if c != "coords"]
+    each = docs.select(*rest, F.posexplode(F.slice("coords", 1, COORDINATES - MATCHES + 1)).alias("j", "value"))
+    return each.select(F.xxhash64("j", "value").alias("key"), "j", *rest)
+
+
+def _handy(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if small_enough(df, BROADCAST_ROWS) else df
+
+
+def _rest(signed: DataFrame, comp: DataFrame, similarity: float, pairs: str) -> DataFrame:
+    """Pairs across components, of lists that hold several, worth confirming.
+
+    Components are joined to documents, not to postings, and signatures only to
+    the postings of such lists.
+    """
+    at = _posts(signed.select("id", "coords").join(_handy(comp), "id", "left").select("id", "coords", F.coalesce("comp", "id").alias("comp")))
     sizes = at.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     lists = sizes.groupBy("key").agg(F.max(F.struct("n", "comp"))["comp"].alias("largest"), F.sum("n").alias("total"), F.max("n").alias("most"))
     lists = cut(lists.filter("total > most"))
-    sides = F.ceil(F.col("total") / BLOCK).cast("int")
-    rows = at.join(lists, "key").select(
-        "key", "j", "id", "comp", (F.col("comp") != F.col("largest")).alias("open"), sides.alias("v_sides"), F.ceil((F.col("total") - F.col("most")) / BLOCK).cast("int").alias("u_sides")
+    number = lambda c: F.ceil(c / BLOCK).cast("int")
+    rows = at.join(_handy(lists), "key").select(
+        "key", "j", "id", "comp", (F.col("comp") != F.col("largest")).alias("open"), number(F.col("total") - F.col("most")).alias("u_sides"), number(F.col("total")).alias("v_sides")
     )
-    rows = rows.join(signed, "id")
     side = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    cell = lambda u, v, asks: F.struct(u.alias("u"), v.alias("v"), F.lit(asks).cast("boolean").alias("asks"))
+    whole = F.array(cell(F.lit(0), F.lit(0), None))
+    left = F.when(F.col("open"), F.transform(every("v_sides"), lambda v: cell(side("u_sides"), v, True))).otherwise(F.array().cast("array<struct<u:int,v:int,asks:boolean>>"))
+    right = F.transform(every("u_sides"), lambda u: cell(u, side("v_sides"), False))
     one = (F.col("u_sides") == 1) & (F.col("v_sides") == 1)
-    whole = rows.filter(one).withColumn("u", F.lit(0)).withColumn("v", F.lit(0)).withColumn("asks", F.lit(None).cast("boolean"))
-    left = rows.filter(~one & F.col("open")).withColumn("u", side("u_sides")).withColumn("v", F.explode(every("v_sides"))).withColumn("asks", F.lit(True))
-    right = rows.filter(~one).withColumn("v", side("v_sides")).withColumn("u", F.explode(every("u_sides"))).withColumn("asks", F.lit(False))
-    cells = whole.unionByName(left).unionByName(right).select("key", "u", "v", "asks", "j", "id", "n", "comp", "open", "coords", "sketch")
+    cells = rows.select("key", "j", "id", "comp", "open", F.explode(F.when(one, whole).otherwise(F.concat(left, right))).alias("cell"))
+    cells = cells.join(signed, "id").select("key", "cell.u", "cell.v", "cell.asks", "j", "id", "n", "comp", "open", "coords", "sketch")
     return cells.repartition("key", "u", "v").sortWithinPartitions("key", "u", "v").mapInArrow(_compare(similarity), pairs).distinct()
 
 

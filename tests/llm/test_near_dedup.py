@@ -94,3 +94,51 @@ def test_sketch_allows_all_links():
             one, many = (np.frombuffer(N.sketch_of(x), np.uint8) for x in (a, b))
             if real >= 0.85:
                 assert N.agree(one, many[None], np.array([len(a) + len(b)]), 0.85)[0]
+
+
+def group(n=60, changes=14):
+    """Near copies of one text, at all distances around the threshold."""
+    r = random.Random(2)
+    base = [f"w{r.randrange(500)}" for _ in range(150)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for _ in range(r.randrange(changes)):
+            words[r.randrange(150)] = f"x{r.randrange(10**6)}"
+        rows.append((i * 3, " ".join(words)))
+    return rows
+
+
+def test_few_shuffles(spark):
+    """Each takes files for all pairs of a task and a folder, whatever it moves."""
+    rows, new = group(), spark.sparkContext._jsc.sc().newShuffleId
+    before = new()
+    got = found(spark, rows, 3, 85)
+    assert new() - before - 1 <= 45
+    assert got == brute(rows, 3, 85)
+
+
+def test_same_classes_without_broadcasts(spark, monkeypatch):
+    """Links in rounds over all, joins by shuffles: as with large tables."""
+    for name in ("LINKS_AT_ONCE", "BROADCAST_ROWS", "BROADCAST_IDS"):
+        monkeypatch.setattr(N, name, 0)
+    monkeypatch.setattr(N, "BLOCK", 16)
+    rows = group()
+    assert found(spark, rows, 3, 85) == brute(rows, 3, 85)
+
+
+def test_components_in_one_task_and_in_rounds(spark, monkeypatch):
+    r = random.Random(3)
+    links = [(r.randrange(300), r.randrange(300)) for _ in range(140)] + [(2000 - i, 1999 - i) for i in range(200)]
+    links += [(5000, 4000 + i) for i in range(50)] + [(-7, 9000), (9000, -7), (1, 1)]
+    top = {i: i for link in links for i in link}
+    for _ in top:
+        for a, b in links:
+            top[a] = top[b] = min(top[a], top[b])
+    expected = {i: c for i, c in top.items() if any(i in link and link[0] != link[1] for link in links)}
+    df = spark.createDataFrame(links, "a long, b long").repartition(5)
+    full = lambda out: {r.comp: r.comp for r in out} | {r.id: r.comp for r in out}
+    assert full(N.components(df).collect()) == expected
+    monkeypatch.setattr(N, "LINKS_AT_ONCE", 0)
+    assert full(N.components(df).collect()) == expected
+    assert N.components(df.filter("a = b")).collect() == []
